@@ -51,7 +51,7 @@ def best_split(hist: DataFrame, reg_lambda: float = 1.0, gamma: float = 0.0,
     """Best split per node from a histogram table (node, feature, bin, g, h), one row per bin.
 
     A row goes left if its bin is at most ``bin``. A null bin holds missing values; they go to the
-    side with the higher gain. Equal gains (to nine decimals) go to the lower feature, then bin.
+    side with the higher gain. Equal gains (in single precision) go to the lower feature, then bin.
     Nodes without a split of positive gain give no row.
     """
     lam, least = f"{float(reg_lambda)!r}D", f"{float(min_child_weight)!r}D"
@@ -72,7 +72,7 @@ def best_split(hist: DataFrame, reg_lambda: float = 1.0, gamma: float = 0.0,
         "*", f"0.5D * (gl * gl / (hl + {lam}) + (g - gl) * (g - gl) / (h - hl + {lam}) - g * g / (h + {lam}))"
              f" - {float(gamma)!r}D AS gain")
     best = F.expr("max_by(struct(feature, bin, missing_left, gain, gl, hl, g, h),"
-                  " struct(round(gain, 9), -feature, -bin, NOT missing_left))")
+                  " struct(CAST(gain AS FLOAT), -feature, -bin, NOT missing_left))")
     return gained.where("gain > 1e-9D").groupBy("node").agg(best.alias("_s")).select("node", "_s.*")
 
 
