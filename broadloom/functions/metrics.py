@@ -102,11 +102,12 @@ def metric_auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> Da
     Rows collapse to one per distinct score (partial aggregate), so a score held by a third of all
     rows is one row from there on. The running count of negatives is range-partitioned.
     """
-    true = _c(label) == 1
-    by_score = df.groupBy(_c(score).cast("double").alias("s")).agg(
-        F.count_if(true).alias("pos"), F.count_if(~true).alias("neg"))
+    true = (_c(label) == 1).cast("bigint")
+    rows = df.select(_c(score).cast("double").alias("s"), true.alias("pos"), (F.lit(1) - true).alias("neg"))
+    rows = rows.where("s IS NOT NULL AND pos IS NOT NULL")
+    by_score = rows.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ranked = with_running_totals(
-        by_score, "s", {"negatives": F.col("neg"), "positives": F.col("pos")}, buckets)
+        by_score, "s", {"negatives": F.col("neg"), "positives": F.col("pos")}, buckets, finer=rows)
     below = F.col("negatives") - F.col("neg")
     wins = F.sum(F.col("pos") * (below + F.col("neg") / F.lit(2.0)))
     pairs = F.max("positives_all").cast("double") * F.max("negatives_all")

@@ -23,6 +23,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from broadloom.operators.prepare import spread
 from broadloom.session import materialize
 
 MISSING = 255  # bin byte of a missing value; real bins are 0..254
@@ -261,7 +262,7 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
         edges = quantile_edges(df, features, dim, max_bins)
     dim = len(edges)
     y = F.col(label).cast("double")
-    data = materialize(df.select(
+    data = materialize(spread(df).select(
         binned(features, edges).alias("bins"), y.alias("label"), class_weight(y, pos_weight).alias("weight"),
         F.lit(float(base_margin)).alias("margin")), "bins")
     cores = spark.sparkContext.defaultParallelism
@@ -288,8 +289,12 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
                     active.append(child)
             if not active:
                 break
-        if not grown:  # no split anywhere: a further round would see the same gradients
-            break
+        if not grown:  # the root stays a leaf
+            whole = sums.where("feature = 0").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).first()
+            leaf = -eta * (whole.g or 0.0) / ((whole.h or 0.0) + reg_lambda)
+            if abs(leaf) < 1e-12:  # a further round would see the same gradients
+                break
+            tree["leaf"][1], grown[1] = leaf, (None, whole.h)
         for n, (gain, cover) in sorted(grown.items()):
             if tree["feature"][n] >= 0:
                 rows.append((number, n, int(tree["feature"][n]), int(tree["bin"][n]), float(tree["threshold"][n]),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -18,6 +19,16 @@ def positional(df: DataFrame, start: int, stop: int) -> list[str]:
     return df.columns[start:stop]
 
 
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin into ``partitions``. Without a number only a table as read that has fewer partitions
+    than the cluster has cores is moved: worth one shuffle where many passes follow."""
+    if partitions is None:
+        partitions = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= partitions:
+            return df
+    return df.repartition(partitions)
+
+
 def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.na.drop(subset=list(columns) if columns else None)
 
@@ -47,21 +58,30 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float], see
     return [marked.where(F.col("_piece") == i).drop("_piece") for i in range(len(weights))]
 
 
-def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], buckets: int = 1024) -> DataFrame:
+def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], buckets: int = 1024,
+                        finer: DataFrame | None = None) -> DataFrame:
     """Running totals over the whole table in ``order``, without a one-task window.
 
-    ``order`` must be numeric and unique per row. Approximate quantiles cut it into ranges; range
+    ``order`` must be numeric, not null and unique per row. Approximate quantiles cut it into ranges; range
     totals (at most ``buckets`` rows) give each range its offset; inside a range an ordinary window
-    finishes the sum. The cuts only balance the work: the totals are exact for any cuts. Adds
-    ``<name>`` (total up to and including the row) and ``<name>_all`` (grand total) per value.
+    finishes the sum. The cuts only balance the work: the totals are exact for any cuts. Adds ``<name>``
+    (total up to and including the row) and ``<name>_all`` (grand total) per value.
+
+    Cuts and range totals are read from ``finer`` if given: a table with the same columns, of which
+    ``df`` is a sum by ``order``. That spares two evaluations of the aggregate.
     """
     probabilities = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(df.approxQuantile(order, probabilities, 1 / (4 * buckets))))
+    source = df if finer is None else finer
+    found = source.approxQuantile(order, probabilities, 1 / (4 * buckets))
+    edges = sorted({e for e in found if math.isfinite(e)}) or [0.0]
     splits = [float("-inf"), *edges, float("inf")]
-    ranged = df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()],
-                       F.col(order).cast("double").alias("_o"))
-    ranged = Bucketizer(splits=splits, inputCol="_o", outputCol="_r").transform(ranged).drop("_o")
-    totals = ranged.groupBy("_r").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+
+    def ranged(table: DataFrame) -> DataFrame:
+        table = table.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()],
+                             F.col(order).cast("double").alias("_o"))
+        return Bucketizer(splits=splits, inputCol="_o", outputCol="_r", handleInvalid="keep").transform(table).drop("_o")
+
+    totals = ranged(source).groupBy("_r").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
     before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
@@ -70,7 +90,7 @@ def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], bu
         *[F.sum(f"_t_{n}").over(everything).alias(f"{n}_all") for n in values],
     )
     inside = Window.partitionBy("_r").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.join(F.broadcast(offsets), "_r")  # at most `buckets` rows
+    joined = ranged(df).join(F.broadcast(offsets), "_r", "left")  # at most `buckets` rows
     return joined.select(
         *df.columns,
         *[(F.sum(f"_v_{n}").over(inside) + F.col(f"_b_{n}")).alias(n) for n in values],

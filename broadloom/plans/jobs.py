@@ -18,11 +18,11 @@ from broadloom.sources.files import read_saved, write_parquet
 
 
 def fit_mlp(df: DataFrame, column: str, label: str, layers: Sequence[int], rounds: int = 100,
-            seed: int = 24) -> MultilayerPerceptronClassificationModel:
+            block: int = 1024, seed: int = 24) -> MultilayerPerceptronClassificationModel:
     """Spark ML's dense classifier: sigmoid hidden layers, L-BFGS. Same task as a relu net trained with
-    Adam (``dense.fit_dense``), not the same curve."""
+    Adam (``dense.fit_dense``), not the same curve. ``block`` rows are multiplied as one matrix."""
     return MultilayerPerceptronClassifier(featuresCol=column, labelCol=label, layers=list(layers), maxIter=rounds,
-                                          seed=seed).fit(df)
+                                          blockSize=block, seed=seed).fit(df)
 
 
 def prepared(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str],
@@ -30,19 +30,15 @@ def prepared(df: DataFrame, label: str, categorical: Sequence[str], numeric: Seq
     """Select, drop null rows, split, index, assemble, scale. The index and the moments come from the
     training rows (``fit_on="all"``: from every row). Returns train and test with ``scaled_features``."""
     wanted = list(dict.fromkeys([*keys, label, *categorical, *numeric]))
-    df = prepare.drop_null_rows(df.select(*wanted))
-    if partitions:
-        df = df.repartition(partitions)
+    df = prepare.drop_null_rows(prepare.spread(df.select(*wanted), partitions))
     df = prepare.with_split(df, keys, [0.8, 0.2], seed, "_split")
-    base = df if fit_on == "all" else df.where(F.col("_split") == 0)
+    fitted = (lambda d: d) if fit_on == "all" else (lambda d: d.where(F.col("_split") == 0))
+    indexed = [f"{c}_index" for c in categorical]
     if categorical:
-        indexed = [f"{c}_index" for c in categorical]
-        base, df = (features.string_index(d, categorical, indexed, fit_on=base) for d in (base, df))
-    else:
-        indexed = []
-    base, df = (features.assemble(d, [*indexed, *numeric]) for d in (base, df))
-    df = features.standard_scale(df, fit_on=base).drop("features")
-    return (df.where(F.col("_split") == i).drop("_split") for i in (0, 1))
+        df = features.string_index(df, categorical, indexed, fit_on=fitted(df))
+    df = features.assemble(df, [*indexed, *numeric])
+    df = features.standard_scale(df, fit_on=fitted(df)).drop("features")
+    return tuple(df.where(F.col("_split") == i).drop("_split") for i in (0, 1))
 
 
 def classify_job(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str],
@@ -63,7 +59,7 @@ def classify_job(df: DataFrame, label: str, categorical: Sequence[str], numeric:
 def boosted_job(df: DataFrame, label: str, numeric: Sequence[str], keys: Sequence[str], path: str,
                 task: str = "classify", **params) -> DataFrame:
     """Table -> boosted trees -> saved and loaded model -> scored test rows."""
-    df = features.assemble(df, numeric, invalid="keep").withColumn("features", features.densify("features"))
+    df = features.assemble(prepare.spread(df), numeric, invalid="keep").withColumn("features", features.densify("features"))
     df = df.withColumnRenamed(label, "label")
     train, test = prepare.hash_split(df, keys, [0.8, 0.2], 24)
     train = train.persist()

@@ -56,7 +56,7 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ids(spark: SparkSession, sf: str) -> DataFrame:
-    return orders(spark, sf).select(F.col("o_orderkey").alias("id"))
+    return prepare.spread(orders(spark, sf).select(F.col("o_orderkey").alias("id")))
 
 
 def with_gaps(df: DataFrame) -> DataFrame:
@@ -569,7 +569,7 @@ def validation_metrics(spark, sf):
 
 
 def assembled(spark, sf) -> DataFrame:
-    return features.assemble(lines(spark, sf).select(*LINE_KEYS, *NUMERIC, returned()), NUMERIC)
+    return features.assemble(prepare.spread(lines(spark, sf).select(*LINE_KEYS, *NUMERIC, returned())), NUMERIC)
 
 
 def confusion_by(scored: DataFrame, label: str) -> DataFrame:
