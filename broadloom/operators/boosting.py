@@ -2,8 +2,8 @@
 
 Features are binned once into one byte each and kept as a Parquet table in the shared folder. Each
 tree level is one job: tasks sum gradients per (node, feature, bin) over their rows, Spark adds the
-partial sums per (node, feature), and ``best_split`` picks the split of every node with a window and
-a top-1 aggregate. The driver sees one row per node, never data.
+partial sums per (node, feature), and a top-1 aggregate picks the split of every node. The driver sees
+one row per node, never data.
 
 Rows are not exploded to rows x features. A task streams its rows, so its memory is one histogram
 block (active nodes x features x bins); the number of tasks is held to the cluster's cores, which
@@ -55,15 +55,20 @@ def best_split(hist: DataFrame, reg_lambda: float = 1.0, gamma: float = 0.0,
     side with the higher gain. Equal gains (in single precision) go to the lower feature, then bin.
     Nodes without a split of positive gain give no row.
     """
-    lam, least = f"{float(reg_lambda)!r}D", f"{float(min_child_weight)!r}D"
     run = "(PARTITION BY node, feature ORDER BY bin ASC NULLS LAST ROWS UNBOUNDED PRECEDING)"
     of = "(PARTITION BY node, feature)"
-    sums = hist.selectExpr(
+    return pick_split(hist.selectExpr(
         "node", "feature", "bin", f"sum(g) OVER {of} AS g", f"sum(h) OVER {of} AS h",
         f"sum(g) OVER {run} AS run_g", f"sum(h) OVER {run} AS run_h",
         f"coalesce(sum(CASE WHEN bin IS NULL THEN g END) OVER {of}, 0D) AS lost_g",
         f"coalesce(sum(CASE WHEN bin IS NULL THEN h END) OVER {of}, 0D) AS lost_h",
-    ).where("bin IS NOT NULL")
+    ).where("bin IS NOT NULL"), reg_lambda, gamma, min_child_weight)
+
+
+def pick_split(sums: DataFrame, reg_lambda: float, gamma: float, min_child_weight: float) -> DataFrame:
+    """Best split per node from running sums: (node, feature, bin, g, h, run_g, run_h, lost_g, lost_h), where
+    g and h are totals of (node, feature), and lost_* those of its missing values."""
+    lam, least = f"{float(reg_lambda)!r}D", f"{float(min_child_weight)!r}D"
     sided = sums.selectExpr(
         "*", "explode(CASE WHEN lost_h = 0 THEN array(false) ELSE array(false, true) END) AS missing_left"
     ).selectExpr("node", "feature", "bin", "missing_left", "g", "h",
@@ -99,12 +104,18 @@ def from_binary(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].reshape(n, -1)
 
 
-def quantile_edges(df: DataFrame, features: str, dim: int, max_bins: int = MISSING) -> list[list[float]]:
-    """Cut points per feature, at most ``max_bins - 1``: one pass of mergeable quantile summaries."""
-    parts = df.select(*[F.get(F.col(features), F.lit(i)).alias(f"c{i}") for i in range(dim)])
+def quantile_edges(df: DataFrame, features: str, max_bins: int = MISSING) -> list[list[float]]:
+    """Cut points per feature, at most ``max_bins - 1``, from mergeable quantile summaries.
+
+    Values are exploded only into the partial aggregate of the same stage: what is shuffled is one summary
+    per feature and task. Above 128 features raise
+    spark.sql.objectHashAggregate.sortBased.fallbackThreshold past their number, or Spark sorts instead.
+    """
     probabilities = [i / max_bins for i in range(max_bins)]
-    found = parts.approxQuantile(parts.columns, probabilities, 1 / (4 * max_bins))
-    return [sorted(set(q))[1:] for q in found]
+    values = df.select(F.posexplode(features).alias("i", "v")).groupBy("i").agg(
+        F.percentile_approx(F.nanvl("v", F.lit(None)), probabilities, 4 * max_bins).alias("q"))
+    found = {r.i: sorted(set(r.q or []))[1:] for r in values.collect()}  # one row per feature
+    return [found[i] for i in sorted(found)]
 
 
 def binned(features: str, edges: Sequence[Sequence[float]]) -> Column:
@@ -197,12 +208,15 @@ def _add_trees(bins: str, margin: str, trees: list[dict]) -> Column:
     return added(F.col(bins), F.col(margin))
 
 
-def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Sequence[int], dim: int,
+def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Sequence[int], dim: int, bins: int,
                 objective: str) -> DataFrame:
-    """(node, feature, bin, g, h) over the whole table, for the active nodes of one level."""
+    """Running sums over the bins of every active node and feature, as ``pick_split`` takes them.
+
+    Running sums add up across tasks as plain sums do, so tasks make them and no window is needed.
+    """
     slots = np.full(len(current["feature"]), -1, np.int64)
     slots[list(active)] = np.arange(len(active))
-    width = MISSING + 1
+    width = bins + 1  # the last place holds missing values
     shared = data.sparkSession.sparkContext.broadcast((trees, current))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +233,7 @@ def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Seque
                 g, h = w * (margin - y), w
             slot = slots[tree_nodes(now, x)]
             keep = slot >= 0
-            x, g, h, base = x[keep], g[keep], h[keep], slot[keep] * width
+            x, g, h, base = np.minimum(x[keep], bins), g[keep], h[keep], slot[keep] * width
             for f in range(dim):
                 at = base + x[:, f]
                 total[0, f] += np.bincount(at, weights=g, minlength=total.shape[2])
@@ -227,6 +241,7 @@ def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Seque
         for k, node in enumerate(active):
             part = total[:, :, k * width:(k + 1) * width]
             if part[1].any():
+                part[:, :, :bins] = np.cumsum(part[:, :, :bins], axis=2)
                 both = np.concatenate([part[0], part[1]], axis=1)
                 offsets = np.arange(dim + 1, dtype=np.int32) * (2 * width)
                 yield pa.RecordBatch.from_arrays(
@@ -237,13 +252,14 @@ def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Seque
     partial = data.select("bins", "label", "weight", "margin").mapInArrow(
         sums, "node int, feature int, sums array<double>")
     summed = partial.groupBy("node", "feature").agg(
-        vector_to_array(Summarizer.metrics("sum").summary(array_to_vector("sums"))["sum"]).alias("sums"))
-    pairs = F.arrays_zip(F.slice("sums", 1, width).alias("g"), F.slice("sums", width + 1, width).alias("h"))
-    bins = summed.select("node", "feature", F.posexplode(pairs).alias("bin", "_p"))
-    # a window over (node, feature) needs no further shuffle
-    return bins.where(F.col("_p.h") > 0).select(
-        "node", "feature", F.when(F.col("bin") < MISSING, F.col("bin")).alias("bin"),
-        F.col("_p.g").alias("g"), F.col("_p.h").alias("h"))
+        vector_to_array(Summarizer.metrics("sum").summary(array_to_vector("sums"))["sum"]).alias("s"))
+    return summed.selectExpr(
+        "node", "feature", f"s[{bins - 1}] + s[{bins}] AS g", f"s[{width + bins - 1}] + s[{width + bins}] AS h",
+        f"s[{bins}] AS lost_g", f"s[{width + bins}] AS lost_h",
+        f"slice(s, 1, {bins}) AS run_g", f"slice(s, {width + 1}, {bins}) AS run_h",
+    ).selectExpr(
+        "node", "feature", "g", "h", "lost_g", "lost_h", "posexplode(arrays_zip(run_g, run_h)) AS (bin, _p)",
+    ).selectExpr("node", "feature", "bin", "g", "h", "_p.run_g", "_p.run_h", "lost_g", "lost_h")
 
 
 def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "binary:logistic", eta: float = 0.1,
@@ -258,9 +274,8 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
     """
     spark = df.sparkSession
     if edges is None:
-        dim = len(df.select(features).first()[0])
-        edges = quantile_edges(df, features, dim, max_bins)
-    dim = len(edges)
+        edges = quantile_edges(df, features, max_bins)
+    dim, bins = len(edges), max(len(e) for e in edges) + 1
     y = F.col(label).cast("double")
     data = materialize(spread(df).select(
         binned(features, edges).alias("bins"), y.alias("label"), class_weight(y, pos_weight).alias("weight"),
@@ -274,8 +289,8 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
             pending = []
         tree, active, grown = new_tree(max_depth), [1], {}
         for _ in range(max_depth):
-            sums = _level_sums(data.coalesce(cores), pending, tree, active, dim, objective)
-            found = best_split(sums, reg_lambda, gamma, min_child_weight).collect()  # one row per node
+            sums = _level_sums(data.coalesce(cores), pending, tree, active, dim, bins, objective)
+            found = pick_split(sums, reg_lambda, gamma, min_child_weight).collect()  # one row per node
             active = []
             for s in sorted(found, key=lambda r: r.node):
                 n = s.node
@@ -290,8 +305,10 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
             if not active:
                 break
         if not grown:  # the root stays a leaf
-            whole = sums.where("feature = 0").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).first()
-            leaf = -eta * (whole.g or 0.0) / ((whole.h or 0.0) + reg_lambda)
+            whole = sums.where("feature = 0 AND bin = 0").first()
+            if whole is None:
+                break
+            leaf = -eta * whole.g / (whole.h + reg_lambda)
             if abs(leaf) < 1e-12:  # a further round would see the same gradients
                 break
             tree["leaf"][1], grown[1] = leaf, (None, whole.h)

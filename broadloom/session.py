@@ -16,6 +16,7 @@ def local_session(cores: str | int = "*", app: str = "broadloom", shuffle: int =
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")

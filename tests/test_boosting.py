@@ -79,7 +79,7 @@ def test_fit_learns_and_ignores_layout_and_refresh(spark, table):
 
 def test_training_margin_equals_scoring_margin(spark, table):
     """Bins during training and raw values during scoring send every row to the same leaf."""
-    edges = boosting.quantile_edges(table.select("x"), "x", 3, 32)
+    edges = boosting.quantile_edges(table.select("x"), "x", 32)
     model = boosting.fit_hist_boost(table, "x", "y", edges=edges, **OPTIONS)
     both = table.select("x", boosting.binned("x", edges).alias("b"), F.lit(0.0).alias("m"))
     both = both.withColumn("by_bin", boosting._add_trees("b", "m", model.trees()))
