@@ -6,8 +6,8 @@ partial sums per (node, feature), and a top-1 aggregate picks the split of every
 one row per node, never data.
 
 Rows are not exploded to rows x features. A task streams its rows, so its memory is one histogram
-block (active nodes x features x bins); the number of tasks is held to the cluster's cores, which
-bounds what is shuffled per level whatever the table size. Split gain follows Chen & Guestrin (2016):
+block (nodes x features x bins, at most BLOCK_BYTES); the number of tasks is held to the cluster's
+cores, which bounds what is shuffled per level whatever the table size. Split gain follows Chen & Guestrin (2016):
 0.5 * [GL^2/(HL+lambda) + GR^2/(HR+lambda) - G^2/(H+lambda)] - gamma.
 """
 
@@ -23,10 +23,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from broadloom.operators.prepare import spread
 from broadloom.session import materialize
 
 MISSING = 255  # bin byte of a missing value; real bins are 0..254
+BLOCK_BYTES = 2 ** 28  # gradient sums a task holds; a level with more nodes than fit takes several jobs
 NODE_SCHEMA = ("tree int, node int, feature int, bin int, threshold double, missing_left boolean, "
                "gain double, cover double, leaf double")
 
@@ -277,10 +277,13 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
         edges = quantile_edges(df, features, max_bins)
     dim, bins = len(edges), max(len(e) for e in edges) + 1
     y = F.col(label).cast("double")
-    data = materialize(spread(df).select(
+    data = materialize(df.select(
         binned(features, edges).alias("bins"), y.alias("label"), class_weight(y, pos_weight).alias("weight"),
         F.lit(float(base_margin)).alias("margin")), "bins")
     cores = spark.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < cores:  # few input files: spread them once for the many passes to come
+        data = materialize(data.repartition(cores), "bins")
+    per_job = max(1, BLOCK_BYTES // (16 * dim * (bins + 1)))
     rows: list[tuple] = []
     pending: list[dict] = []
     for number in range(num_round):
@@ -289,8 +292,10 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
             pending = []
         tree, active, grown = new_tree(max_depth), [1], {}
         for _ in range(max_depth):
-            sums = _level_sums(data.coalesce(cores), pending, tree, active, dim, bins, objective)
-            found = pick_split(sums, reg_lambda, gamma, min_child_weight).collect()  # one row per node
+            found = []
+            for at in range(0, len(active), per_job):
+                sums = _level_sums(data.coalesce(cores), pending, tree, active[at:at + per_job], dim, bins, objective)
+                found += pick_split(sums, reg_lambda, gamma, min_child_weight).collect()  # one row per node
             active = []
             for s in sorted(found, key=lambda r: r.node):
                 n = s.node

@@ -222,6 +222,26 @@ def batch_gradient(df: DataFrame, model: DenseModel) -> DataFrame:
         "name", (F.col("chunk") * F.lit(CHUNK) + F.col("pos")).alias("position"), "value")
 
 
+def fit_full_batch(df: DataFrame, spec: DenseSpec, epochs: int = 1, rate: float = 1e-3,
+                   init: DenseModel | None = None, seed: int = 0) -> DenseModel:
+    """Synchronous training: each epoch is one gradient over the whole table and one Adam update.
+
+    The result does not depend on partitioning, up to the last bits. For small nets on large tables; use
+    ``fit_dense`` where many steps per pass are wanted. Not for normalised or dropped layers, whose values
+    depend on the batch.
+    """
+    if any(y.kind in ("norm", "drop") for y in spec.layers):
+        raise ValueError("full-batch steps are defined for dense, embed and concat layers")
+    params = dict(init.params) if init else net.initial(spec, seed)
+    m, v = ({n: np.zeros_like(a) for n, a in params.items()} for _ in range(2))
+    for step in range(1, epochs + 1):
+        grads: dict[str, np.ndarray] = {n: np.zeros(a.size) for n, a in params.items()}
+        for r in batch_gradient(df, DenseModel(spec, params)).collect():  # one row per parameter value
+            grads[r.name][r.position] = r.value
+        net.adam(params, {n: g.reshape(params[n].shape) for n, g in grads.items()}, m, v, step, rate)
+    return DenseModel(spec, params)
+
+
 # --- score --------------------------------------------------------------------------------------
 
 

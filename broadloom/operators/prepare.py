@@ -20,8 +20,9 @@ def positional(df: DataFrame, start: int, stop: int) -> list[str]:
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin into ``partitions``. Without a number only a table as read that has fewer partitions
-    than the cluster has cores is moved: worth one shuffle where many passes follow."""
+    """Round-robin into ``partitions``. Without a number, only a table that has fewer partitions than the
+    cluster has cores is moved: worth one shuffle where many passes follow. Use it on a table as read:
+    after a shuffle Spark sizes partitions itself, and would have to run it to tell their number."""
     if partitions is None:
         partitions = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= partitions:
@@ -68,7 +69,8 @@ def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], bu
     (total up to and including the row) and ``<name>_all`` (grand total) per value.
 
     Cuts and range totals are read from ``finer`` if given: a table with the same columns, of which
-    ``df`` is a sum by ``order``. That spares two evaluations of the aggregate.
+    ``df`` is a sum by ``order``. That spares two evaluations of the aggregate. Otherwise ``df`` is read
+    three times: pass a stored table rather than an expensive plan.
     """
     probabilities = [i / buckets for i in range(1, buckets)]
     source = df if finer is None else finer

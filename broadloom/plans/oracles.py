@@ -263,6 +263,36 @@ def _plan(table: str, key: str, size: int, columns: str) -> str:
             f"WHERE i // {size} < n // {size})")
 
 
+def _adam(x: list[str], rounds: int, rate: float) -> str:
+    """Full-batch Adam for inputs -> 2 relu units -> 1 sigmoid unit, from the fixed weights.
+
+    ``k0`` holds parameters and moments as one row; each step adds the mean gradients and updates them.
+    """
+    w, b = fixed.weight, fixed.bias
+    start = {f"u{i}{j}": w(i, j) for i in range(3) for j in range(2)} | {f"c{j}": b(j) for j in range(2)}
+    start |= {f"o{j}": w(j, 0) for j in range(2)} | {"q0": b(0)}
+    ctes = [f"t AS MATERIALIZED (SELECT {Y} AS y, " + ", ".join(f"{e} AS x{i}" for i, e in enumerate(x)) + " FROM lineitem)",
+            "k0 AS (SELECT " + ", ".join(f"{d(v)} AS {n}, 0e0 AS m_{n}, 0e0 AS v_{n}" for n, v in start.items()) + ")"]
+    for s in range(1, rounds + 1):
+        hidden = ", ".join(f"greatest(0e0, x0 * u0{j} + x1 * u1{j} + x2 * u2{j} + c{j}) AS a{j}" for j in range(2))
+        rows = f"(SELECT *, 1e0 / (1e0 + exp(-(a0 * o0 + a1 * o1 + q0))) - y AS e FROM (SELECT *, {hidden} FROM t, k{s - 1}))"
+        grad = {f"u{i}{j}": f"x{i} * CASE WHEN a{j} > 0 THEN e * o{j} ELSE 0e0 END" for i in range(3) for j in range(2)}
+        grad |= {f"c{j}": f"CASE WHEN a{j} > 0 THEN e * o{j} ELSE 0e0 END" for j in range(2)}
+        grad |= {f"o{j}": f"a{j} * e" for j in range(2)} | {"q0": "e"}
+        ctes.append(f"g{s} AS MATERIALIZED (SELECT " + ", ".join(f"avg({v}) AS g_{n}" for n, v in grad.items()) + f" FROM {rows})")
+        moved = ", ".join(f"{n}, 0.9e0 * m_{n} + 0.1e0 * g_{n} AS m_{n}, 0.999e0 * v_{n} + 0.001e0 * g_{n} * g_{n} AS v_{n}"
+                          for n in start)
+        ctes.append(f"k{s} AS MATERIALIZED (SELECT * REPLACE (" + ", ".join(
+            f"{n} - {d(rate)} * (m_{n} / (1 - pow(0.9e0, {s}))) / (sqrt(v_{n} / (1 - pow(0.999e0, {s}))) + 1e-7) AS {n}"
+            for n in start) + f") FROM (SELECT {moved} FROM k{s - 1}, g{s}))")
+    names = {f"u{i}{j}": ("dense_1/weight", i * 2 + j) for i in range(3) for j in range(2)}
+    names |= {f"c{j}": ("dense_1/bias", j) for j in range(2)} | {f"o{j}": ("output/weight", j) for j in range(2)}
+    names["q0"] = ("output/bias", 0)
+    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(
+        f"SELECT '{n}' AS name, {i}::BIGINT AS position, round({c}, 7) AS value FROM k{rounds}"
+        for c, (n, i) in names.items())
+
+
 def steps() -> None:
     ORACLES["batch_plan"] = f"SELECT * FROM {_plan('orders', 'o_orderkey', 160, 'o_orderkey, o_totalprice')}"
     ORACLES["piecewise_lr"] = (
@@ -282,6 +312,7 @@ def steps() -> None:
     ORACLES["gradient_step"] = "WITH t AS MATERIALIZED (SELECT * FROM " + net.format(src="lineitem") + ") " + \
         " UNION ALL ".join(f"SELECT '{n}' AS name, {i}::BIGINT AS position, round(avg({e}), 7) AS value FROM t"
                            for n, i, e in grads)
+    ORACLES["adam_steps"] = _adam(x, 2, 0.01)
     valid = _mix("lineitem", ["l_orderkey", "l_partkey"], 24)
     ORACLES["validation_metrics"] = (
         f"SELECT count(*) AS n_rows, {r6('avg(-(y * ln(p) + (1 - y) * ln(1 - p)))')} AS val_output_bce FROM "

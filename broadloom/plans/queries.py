@@ -319,8 +319,9 @@ def sequence_embed_pool(spark, sf):
 
 
 def boost_rows(spark, sf) -> DataFrame:
-    return lines(spark, sf).select("l_orderkey", (F.col("l_extendedprice") / 1e3).alias("price"), *fixed.BOOST_FEATURES, returned(),
-                                   features.pack(fixed.BOOST_FEATURES).alias("x"))
+    return prepare.spread(lines(spark, sf)).select(
+        "l_orderkey", (F.col("l_extendedprice") / 1e3).alias("price"), *fixed.BOOST_FEATURES, returned(),
+        features.pack(fixed.BOOST_FEATURES).alias("x"))
 
 
 def boost_model(spark, sf, label: str, options: dict) -> boosting.BoostModel:
@@ -408,6 +409,16 @@ def gradient_step(spark, sf):
     return found.select("name", F.col("position").cast("bigint").alias("position"), F.round("value", 7).alias("value"))
 
 
+@query
+def adam_steps(spark, sf):
+    """Parameters after two synchronous Adam steps from fixed weights, over all rows."""
+    model = dense.fit_full_batch(small_rows(spark, sf), small_net(), epochs=2, rate=0.01,
+                                 init=fixed.fixed_model(small_net()))
+    return model.param_table(spark).select(
+        F.concat_ws("/", "layer", "name").alias("name"), F.posexplode("values").alias("position", "value")).select(
+        "name", F.col("position").cast("bigint").alias("position"), F.round("value", 7).alias("value"))
+
+
 @query
 def batch_norm_apply(spark, sf):
     """Normalise by fixed statistics, by an array expression over the vectors."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from broadloom.operators import boosting
 
-OPTIONS = {"num_round": 4, "max_depth": 3, "min_child_weight": 2.0, "gamma": 0.0, "eta": 0.4}
+OPTIONS = {"num_round": 3, "max_depth": 3, "min_child_weight": 2.0, "gamma": 0.0, "eta": 0.4}
 
 
 @pytest.fixture(scope="module")
@@ -77,6 +77,14 @@ def test_fit_learns_and_ignores_layout_and_refresh(spark, table):
     assert {r[2] for r in one.rows if r[2] is not None} == {0, 1}
 
 
+def test_levels_in_several_jobs_give_the_same_trees(spark, table, monkeypatch):
+    edges = [[i / 20 for i in range(1, 20)]] * 2 + [[]]
+    options = {**OPTIONS, "num_round": 1}
+    whole = boosting.fit_hist_boost(table, "x", "y", edges=edges, **options)
+    monkeypatch.setattr(boosting, "BLOCK_BYTES", 1)
+    close(whole.rows, boosting.fit_hist_boost(table, "x", "y", edges=edges, **options).rows)
+
+
 def test_training_margin_equals_scoring_margin(spark, table):
     """Bins during training and raw values during scoring send every row to the same leaf."""
     edges = boosting.quantile_edges(table.select("x"), "x", 32)
