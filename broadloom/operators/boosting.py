@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 from broadloom.session import materialize
 
 MISSING = 255  # bin byte of a missing value; real bins are 0..254
-BLOCK_BYTES = 2 ** 28  # gradient sums a task holds; a level with more nodes than fit takes several jobs
+BLOCK_BYTES = 2 ** 28  # gradient sums a task holds; a level with more nodes than fit takes several passes
+SUBTRACT_ROWS = 2 ** 17  # rows per core from which summing only one child of two is worth a join
 NODE_SCHEMA = ("tree int, node int, feature int, bin int, threshold double, missing_left boolean, "
                "gain double, cover double, leaf double")
 
@@ -208,12 +211,11 @@ def _add_trees(bins: str, margin: str, trees: list[dict]) -> Column:
     return added(F.col(bins), F.col(margin))
 
 
-def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Sequence[int], dim: int, bins: int,
+def _histograms(data: DataFrame, trees: list[dict], current: dict, active: Sequence[int], dim: int, bins: int,
                 objective: str) -> DataFrame:
-    """Running sums over the bins of every active node and feature, as ``pick_split`` takes them.
-
-    Running sums add up across tasks as plain sums do, so tasks make them and no window is needed.
-    """
+    """(node, feature, s) for the given nodes: s holds running sums of g over the bins, the sum of g over
+    missing values, then the same of h. Running sums add up across tasks as plain sums do, so tasks make
+    them and no window is needed."""
     slots = np.full(len(current["feature"]), -1, np.int64)
     slots[list(active)] = np.arange(len(active))
     width = bins + 1  # the last place holds missing values
@@ -233,9 +235,10 @@ def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Seque
                 g, h = w * (margin - y), w
             slot = slots[tree_nodes(now, x)]
             keep = slot >= 0
-            x, g, h, base = np.minimum(x[keep], bins), g[keep], h[keep], slot[keep] * width
+            g, h, base = g[keep], h[keep], slot[keep] * width
+            columns = np.ascontiguousarray(np.minimum(x[keep], bins).T)
             for f in range(dim):
-                at = base + x[:, f]
+                at = base + columns[f]
                 total[0, f] += np.bincount(at, weights=g, minlength=total.shape[2])
                 total[1, f] += np.bincount(at, weights=h, minlength=total.shape[2])
         for k, node in enumerate(active):
@@ -251,9 +254,22 @@ def _level_sums(data: DataFrame, trees: list[dict], current: dict, active: Seque
 
     partial = data.select("bins", "label", "weight", "margin").mapInArrow(
         sums, "node int, feature int, sums array<double>")
-    summed = partial.groupBy("node", "feature").agg(
+    return partial.groupBy("node", "feature").agg(
         vector_to_array(Summarizer.metrics("sum").summary(array_to_vector("sums"))["sum"]).alias("s"))
-    return summed.selectExpr(
+
+
+def _with_siblings(parents: DataFrame, children: DataFrame) -> DataFrame:
+    """Histograms of the given children and, as parent minus child, of their siblings."""
+    known = children.selectExpr("node AS child", "node div 2 AS node", "feature", "s AS part")
+    rest = parents.join(known, ["node", "feature"]).selectExpr(
+        "child ^ 1 AS node", "feature", "zip_with(s, part, (a, b) -> a - b) AS s")
+    return children.unionByName(rest)
+
+
+def _running_sums(histograms: DataFrame, bins: int) -> DataFrame:
+    """One row per bin, as ``pick_split`` takes them."""
+    width = bins + 1
+    return histograms.selectExpr(
         "node", "feature", f"s[{bins - 1}] + s[{bins}] AS g", f"s[{width + bins - 1}] + s[{width + bins}] AS h",
         f"s[{bins}] AS lost_g", f"s[{width + bins}] AS lost_h",
         f"slice(s, 1, {bins}) AS run_g", f"slice(s, {width + 1}, {bins}) AS run_h",
@@ -266,11 +282,13 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
                    gamma: float = 0.1, reg_lambda: float = 1.0, min_child_weight: float = 30.0,
                    pos_weight: float = 1.0, max_depth: int = 6, num_round: int = 200, base_margin: float = 0.0,
                    edges: Sequence[Sequence[float]] | None = None, max_bins: int = MISSING,
-                   refresh: int = 25) -> BoostModel:
+                   refresh: int = 25, subtract: bool | None = None) -> BoostModel:
     """Fit on ``features`` (array<double>, NaN or null element = missing) and a numeric ``label``.
 
     Margins are written back every ``refresh`` trees; between, tasks add the trees since then, so
-    neither lineage nor work per level grows with the number of rounds.
+    neither lineage nor work per level grows with the number of rounds. With ``subtract`` tasks sum
+    only the lighter child of each split, and the other comes as parent minus child: half the work and
+    half the shuffle of a level, for one small join. The default does so on large tables.
     """
     spark = df.sparkSession
     if edges is None:
@@ -283,20 +301,32 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
     cores = spark.sparkContext.defaultParallelism
     if data.rdd.getNumPartitions() < cores:  # few input files: spread them once for the many passes to come
         data = materialize(data.repartition(cores), "bins")
-    per_job = max(1, BLOCK_BYTES // (16 * dim * (bins + 1)))
+    per_task = max(1, BLOCK_BYTES // (16 * dim * (bins + 1)))
+    if subtract is None:
+        subtract = data.count() // cores > SUBTRACT_ROWS
     rows: list[tuple] = []
     pending: list[dict] = []
     for number in range(num_round):
         if len(pending) == refresh:
             data = materialize(data.withColumn("margin", _add_trees("bins", "margin", pending)), "margins")
             pending = []
-        tree, active, grown = new_tree(max_depth), [1], {}
+        tree, active, grown, parents = new_tree(max_depth), [1], {}, None
         for _ in range(max_depth):
-            found = []
-            for at in range(0, len(active), per_job):
-                sums = _level_sums(data.coalesce(cores), pending, tree, active[at:at + per_job], dim, bins, objective)
-                found += pick_split(sums, reg_lambda, gamma, min_child_weight).collect()  # one row per node
-            active = []
+            wanted = active if parents is None else lighter
+            level = reduce(DataFrame.unionByName, [
+                _histograms(data.coalesce(cores), pending, tree, wanted[at:at + per_task], dim, bins, objective)
+                for at in range(0, len(wanted), per_task)])
+            if parents is not None:
+                level = _with_siblings(parents, level)
+            if subtract:
+                level = level.persist(StorageLevel.MEMORY_AND_DISK)
+            sums = _running_sums(level, bins)
+            found = pick_split(sums, reg_lambda, gamma, min_child_weight).collect()  # one row per node
+            if subtract:
+                done, parents = parents, level
+                if done is not None:
+                    done.unpersist()
+            active, lighter = [], []
             for s in sorted(found, key=lambda r: r.node):
                 n = s.node
                 tree["feature"][n], tree["bin"][n], tree["missing_left"][n] = s.feature, s.bin, s.missing_left
@@ -307,8 +337,11 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
                     tree["leaf"][child] = -eta * g / (h + reg_lambda)
                     grown[child] = (None, h)
                     active.append(child)
+                lighter.append(2 * n if 2 * s.hl <= s.h else 2 * n + 1)
             if not active:
                 break
+        if parents is not None:
+            parents.unpersist()
         if not grown:  # the root stays a leaf
             whole = sums.where("feature = 0 AND bin = 0").first()
             if whole is None:

@@ -100,6 +100,8 @@ def _epoch(spec: DenseSpec, shared, size: int, first: int, rate: Callable[[int],
                 mark = int(abs(np.nan_to_num(next(iter(b.values()))).sum()) * 1e6) % 2 ** 31
                 rng = np.random.default_rng([seed, first, mark])
             losses, grads, stats = net.backward(spec, p, {n: b[n] for n in names}, {n: b[n] for n in labels}, rng)
+            if not np.isfinite(losses).all():
+                raise ValueError("loss is not finite: null or NaN in the rows, or a rate too high")
             step += 1
             net.adam(p, grads, m, v, step, rate(step))
             p.update(stats)

@@ -157,7 +157,10 @@ def forward(spec: DenseSpec, p: dict, x: dict, rng=None, until: str | None = Non
         if y.kind == "dense":
             v = _activate(v @ p[f"{y.name}/weight"] + p[f"{y.name}/bias"], y.activation)
         elif y.kind == "embed":
-            v = p[f"{y.name}/table"][v.astype(np.int64).ravel()]
+            at = v.astype(np.int64).ravel()
+            if len(at) and not 0 <= at.min() <= at.max() < y.vocab:
+                raise ValueError(f"ids of {y.inputs[0]} must lie in 0..{y.vocab - 1}")
+            v = p[f"{y.name}/table"][at]
         elif y.kind == "norm":
             mean, var = p[f"{y.name}/mean"], p[f"{y.name}/variance"]
             if rng is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from broadloom.functions import metrics
 from broadloom.functions.schedule import DECAY_VALUES, decay_boundaries, lr_at
-from broadloom.operators import dense, features, prepare, search, trees
+from broadloom.operators import boosting, dense, features, prepare, search, trees
 from broadloom.operators.dense import DenseModel
 from broadloom.operators.network import DenseSpec, multitask_spec
 from broadloom.sources.files import read_saved, write_parquet
@@ -71,18 +71,27 @@ def boosted_job(df: DataFrame, label: str, numeric: Sequence[str], keys: Sequenc
 
 
 def search_job(train: DataFrame, valid: DataFrame, column: str, label: str, space: dict, n_sampling: int = 2,
-               task: str = "classify", seed: int = 2, **fixed):
-    """Search over ``n_estimators`` and ``max_depth``; returns results, best row and best model."""
+               task: str = "classify", learner: str = "gbt", seed: int = 2, **fixed):
+    """Search over ``n_estimators`` and ``max_depth``; returns results, best row and best model.
+
+    ``learner``: ``gbt`` (Spark ML, ``column`` a vector) or ``hist`` (second-order histogram trees,
+    ``column`` an array). ``fixed`` goes to every fit.
+    """
     trials = search.expand_trials(train.sparkSession, space, n_sampling, seed)
+    if learner == "hist" and "edges" not in fixed:
+        fixed["edges"] = boosting.quantile_edges(train, column)  # one pass for all trials
 
     def fit(data: DataFrame, p: dict):
+        if learner == "hist":
+            goal = "binary:logistic" if task == "classify" else "reg:squarederror"
+            return boosting.fit_hist_boost(data, column, label, goal, num_round=p["n_estimators"],
+                                           max_depth=p["max_depth"], **fixed)
         return trees.fit_gbt(data, column, label, task, rounds=p["n_estimators"], depth=p["max_depth"], **fixed)
 
     def judge(data: DataFrame, model) -> DataFrame:
-        scored = trees.score_gbt(data, model, column)
-        if task == "classify":
-            return metrics.metric_classification(scored, label, "prediction")
-        return metrics.metric_regression(scored, label, "prediction")
+        score = boosting.score_hist_boost if learner == "hist" else trees.score_gbt
+        metric = metrics.metric_classification if task == "classify" else metrics.metric_regression
+        return metric(score(data, model, column), label, "prediction")
 
     metric = "error" if task == "classify" else "rmse"
     results, models = search.run_trials(train, valid, trials, fit, judge, metric)

@@ -699,6 +699,15 @@ def sequence_fit(spark, sf):
     return dense.score_dense(df, model).select("user_id", "label", "prediction")
 
 
+@query
+def sequence_regress(spark, sf):
+    """Flat sequences of 128 steps -> max and average -> net with absolute loss; one score per row."""
+    df = generate.gen_sequence_flat(ids(spark, sf), 128, seed=14).withColumnRenamed("output", "target")
+    df = sequences.sequence_pool(df, ["f"], ["id", "target"])
+    model, _ = dense.fit_dense(df, net.regressor_spec("pooled", 2, "target", [8], loss="mae"), "id", batch_size=32)
+    return dense.score_dense(df, model).select("id", "target", "prediction")
+
+
 @query
 def params_roundtrip(spark, sf):
     """A saved and loaded dense model gives equal scores on every row."""
@@ -748,6 +757,17 @@ def search_run(spark, sf):
     return results
 
 
+@query
+def search_hist(spark, sf):
+    """Search over histogram trees with a regression target."""
+    df = boost_rows(spark, sf)
+    train, valid = prepare.hash_split(df, ["l_orderkey"], [0.8, 0.2])
+    space = {"n_estimators": search.Grid([1, 2]), "max_depth": search.Choice([1, 2])}
+    results, _, _ = jobs.search_job(train, valid, "x", "price", space, n_sampling=1, task="regress", learner="hist",
+                                    min_child_weight=3.0, eta=0.5)
+    return results
+
+
 @query
 def training_log(spark, sf):
     """Mean value per batch, appended to a log table, read back at every tenth step."""

@@ -83,6 +83,7 @@ def test_levels_in_several_jobs_give_the_same_trees(spark, table, monkeypatch):
     whole = boosting.fit_hist_boost(table, "x", "y", edges=edges, **options)
     monkeypatch.setattr(boosting, "BLOCK_BYTES", 1)
     close(whole.rows, boosting.fit_hist_boost(table, "x", "y", edges=edges, **options).rows)
+    close(whole.rows, boosting.fit_hist_boost(table, "x", "y", edges=edges, subtract=True, **options).rows)
 
 
 def test_training_margin_equals_scoring_margin(spark, table):

@@ -89,6 +89,26 @@ def test_too_few_rows_are_refused(spark, line):
         dense.fit_dense(line.limit(31), net.regressor_spec("x", 2, "y", [3]), "id", 32)
 
 
+def test_bad_rows_are_refused(spark, line):
+    holes = line.withColumn("y", F.when(F.col("id") != 5, F.col("y")))
+    with pytest.raises(Exception, match="not finite"):
+        dense.fit_dense(holes, net.regressor_spec("x", 2, "y", [3]), "id", 32, partitions=2)
+    spec = net.DenseSpec({"c": 0}, (net.Layer("e", "embed", ("c",), 2, vocab=3), net.Layer("o", "dense", ("e",), 1)), ())
+    for bad in (-1.0, 3.0):
+        with pytest.raises(ValueError, match="0..2"):
+            net.forward(spec, net.initial(spec), {"c": np.array([[bad]])})
+
+
+def test_full_batch_steps_ignore_layout(spark, line):
+    spec = net.regressor_spec("x", 2, "y", [4])
+    a = dense.fit_full_batch(line, spec, 5, 0.05)
+    b = dense.fit_full_batch(line.repartition(7), spec, 5, 0.05)
+    assert all(np.allclose(v, b.params[n], rtol=1e-9) for n, v in a.params.items())
+    losses = [dense.validation_metrics(line, m)["val_output_mse"]
+              for m in (dense.DenseModel(spec, net.initial(spec)), a)]
+    assert losses[1] < losses[0]
+
+
 def test_empty_partitions_do_not_count(spark, line):
     model, log = dense.fit_dense(line.where("id < 64"), net.regressor_spec("x", 2, "y", [3]), "id", 64, 1,
                                  partitions=64)

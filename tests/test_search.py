@@ -42,6 +42,14 @@ def test_search_finds_a_model_and_reports_it(spark, table):
     assert sum(counts.values()) == sum((t.numNodes - 1) // 2 for t in model.trees)
 
 
+def test_search_over_histogram_trees(spark, table):
+    from pyspark.ml.functions import vector_to_array
+    df = table.select("y", vector_to_array("features").alias("x"))
+    space = {"n_estimators": search.Grid([1]), "max_depth": search.Choice([2])}
+    results, best, model = jobs.search_job(df, df, "x", "y", space, n_sampling=1, learner="hist", min_child_weight=1.0)
+    assert best.first().error == 0.0 and model.rows[0][2] == 0
+
+
 def test_boosted_job_round_trip(spark, table, tmp_path):
     out = jobs.boosted_job(table.select("id", "a", "b", F.col("y").alias("output")), "output", ["a", "b"], ["id"],
                            str(tmp_path / "m"), rounds=2, depth=2)
