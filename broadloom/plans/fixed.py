@@ -13,6 +13,7 @@ CLASSIFY = {"objective": "binary:logistic", "eta": 0.3, "gamma": 0.1, "reg_lambd
             "pos_weight": 2.0, "max_depth": 2, "num_round": 3}
 REGRESS = {"objective": "reg:squarederror", "eta": 0.3, "gamma": 0.1, "reg_lambda": 1.0, "min_child_weight": 30.0,
            "pos_weight": 1.0, "max_depth": 2, "num_round": 3}
+SEARCH = {"eta": 0.5, "min_child_weight": 3.0}
 HISTORY = 64
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 

@@ -190,22 +190,25 @@ def _pick(hist: str, lam: float, gamma: float, least: float, only: str = "") ->
             WHERE gain > 1e-9) WHERE rk = 1"""
 
 
-def _boost(label: str, options: dict) -> tuple[str, str, str]:
-    """Rounds of boosting unrolled: (WITH list, name of the node table, name of the last row table)."""
+def _boost(label: str, options: dict, source: str = "lineitem", part: str = "0") -> tuple[str, str, str]:
+    """Rounds of boosting unrolled: (WITH list, name of the node table, name of the last row table). Splits
+    are chosen from the rows whose ``part`` is 0; every row is scored."""
     lam, eta, depth = options["reg_lambda"], options["eta"], options["max_depth"]
     bins = ", ".join("(" + " + ".join(f"({c} >= {d(e)})::INTEGER" for e in edges) + f") AS b{i}"
                      for i, (c, edges) in enumerate(zip(fixed.BOOST_FEATURES, fixed.BOOST_EDGES)))
     logistic = options["objective"] == "binary:logistic"
-    ctes = [f"r0 AS MATERIALIZED (SELECT l_orderkey, l_quantity, {bins}, ({label})::DOUBLE AS y, 0e0 AS m FROM lineitem)"]
+    ctes = [f"r0 AS MATERIALIZED (SELECT l_orderkey, l_quantity, {bins}, ({label})::DOUBLE AS y, 0e0 AS m, {part} AS part FROM {source})"]
     tables = []
     for t in range(options["num_round"]):
         w = f"CASE WHEN y = 1 THEN {d(options['pos_weight'])} ELSE 1e0 END"
         p = "(1e0 / (1e0 + exp(-m)))"
         g, h = (f"{w} * ({p} - y)", f"{w} * {p} * (1e0 - {p})") if logistic else (f"{w} * (m - y)", w)
-        ctes.append(f"n{t}_0 AS MATERIALIZED (SELECT *, {g} AS g, {h} AS h, 1 AS node, 0e0 AS leaf FROM r{t})")
+        ctes.append(f"f{t} AS MATERIALIZED (SELECT *, {g} AS g, {h} AS h FROM r{t})")
+        ctes.append(f"""n{t}_0 AS MATERIALIZED (SELECT *, 1 AS node, (SELECT -{d(eta)} * sum(g) / (sum(h) + {d(lam)})
+            FROM f{t} WHERE part = 0) AS leaf FROM f{t})""")
         for level in range(depth):
             rows = f"n{t}_{level}"
-            active = f"node >= {2 ** level} AND node < {2 ** (level + 1)}"
+            active = f"part = 0 AND node >= {2 ** level} AND node < {2 ** (level + 1)}"
             hist = " UNION ALL ".join(
                 f"SELECT node, {i} AS feature, b{i} AS bin, sum(g) AS g, sum(h) AS h FROM {rows} WHERE {active} "
                 f"GROUP BY node, b{i}" for i in range(len(fixed.BOOST_FEATURES)))
@@ -235,7 +238,7 @@ def boosting() -> None:
                                  ("boost_reg_rounds", "l_extendedprice / 1e3", fixed.REGRESS)):
         ctes, nodes, _ = _boost(label, options)
         ORACLES[name] = (f"{ctes} SELECT tree, node::INTEGER AS node, feature::INTEGER AS feature, "
-                         f"bin::INTEGER AS bin, {r6('gain')} AS gain, {r6('leaf')} AS leaf FROM {nodes}")
+                         f"bin::INTEGER AS bin, round(gain, 4) + 0e0 AS gain, {r6('leaf')} AS leaf FROM {nodes}")
     ctes, nodes, rows = _boost(Y, fixed.CLASSIFY)
     p = "1e0 / (1e0 + exp(-m))"
     ORACLES["boost_score"] = (f"{ctes} SELECT l_orderkey, l_quantity, {r6('m')} AS margin, {r6(p)} AS probability, "
@@ -412,6 +415,20 @@ def reports() -> None:
               f"FROM lineitem) AS error FROM {trials})")
     ORACLES["search_trials"] = f"SELECT * FROM {judged}"
     ORACLES["search_best"] = f"SELECT * FROM {judged} ORDER BY error, trial LIMIT 1"
+    source = _mix("lineitem", ["l_orderkey"], 24)
+    part = "CASE WHEN h % 1000000 < 800000 THEN 0 ELSE 1 END"
+    tried = []
+    for n in (1, 2):
+        for depth in (1, 2):
+            ctes, _, rows = _boost("l_extendedprice / 1e3", fixed.SEARCH | {"num_round": n, "max_depth": depth,
+                                   "reg_lambda": 1.0, "gamma": 0.1, "pos_weight": 1.0, "objective": "reg:squarederror"},
+                                   source, part)
+            tried.append(f"SELECT {n} AS n_estimators, {depth} AS max_depth, e AS rmse FROM "
+                         f"({ctes} SELECT sqrt(avg((m - y) * (m - y))) AS e FROM {rows} WHERE part = 1)")
+    grid = "(SELECT n - 1 AS trial, n AS n_estimators FROM (VALUES (1), (2)) g(n))"
+    chosen = f"(SELECT trial, n_estimators, [1, 2][h % 2 + 1] AS max_depth FROM {_mix(grid, ['trial'], 3)})"
+    ORACLES["search_hist"] = (f"SELECT trial::BIGINT AS trial, n_estimators, max_depth, {r6('rmse')} AS rmse "
+                              f"FROM {chosen} JOIN ({' UNION ALL '.join(tried)}) USING (n_estimators, max_depth)")
     plan = _plan("events", "event_id", 100, "event_id, value")
     ORACLES["training_log"] = (f"SELECT 'run' AS run, 0 AS epoch, batch AS step, 'loss' AS metric, {r6('avg(value)')} "
                                f"AS value FROM {plan} WHERE batch % 10 = 0 GROUP BY batch")

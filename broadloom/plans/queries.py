@@ -329,8 +329,8 @@ def boost_model(spark, sf, label: str, options: dict) -> boosting.BoostModel:
 
 
 def node_rows(spark, model) -> DataFrame:
-    return model.node_table(spark).select("tree", "node", "feature", "bin", r6("gain").alias("gain"),
-                                          r6("leaf").alias("leaf"))
+    return model.node_table(spark).select("tree", "node", "feature", "bin",
+                                          (F.round("gain", 4) + F.lit(0.0)).alias("gain"), r6("leaf").alias("leaf"))
 
 
 @query
@@ -764,8 +764,8 @@ def search_hist(spark, sf):
     train, valid = prepare.hash_split(df, ["l_orderkey"], [0.8, 0.2])
     space = {"n_estimators": search.Grid([1, 2]), "max_depth": search.Choice([1, 2])}
     results, _, _ = jobs.search_job(train, valid, "x", "price", space, n_sampling=1, task="regress", learner="hist",
-                                    min_child_weight=3.0, eta=0.5)
-    return results
+                                    edges=fixed.BOOST_EDGES, **fixed.SEARCH)
+    return results.withColumn("rmse", r6("rmse"))
 
 
 @query
