@@ -31,6 +31,7 @@ from broadloom.operators.network import DenseSpec
 from broadloom.operators.prepare import steps_per_epoch
 
 CHUNK = 65536
+LOCAL_ROWS = 8
 LOG_SCHEMA = "run string, epoch int, step long, metric string, value double"
 
 
@@ -156,24 +157,29 @@ def fit_dense(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, ep
               run: str = "fit") -> tuple[DenseModel, DataFrame]:
     """Fit; returns the model and the log table (run, epoch, step, metric, value).
 
-    ``key`` is a unique row id; it fixes the layout. ``batch_size`` is global: each of P partitions
-    steps through batch_size // P rows at a time, so an epoch has about rows // batch_size steps.
+    ``key`` is a unique row id; it fixes the layout. ``batch_size`` is global: each of P partitions (by
+    default one per core) steps through batch_size // P rows at a time, so an epoch has about
+    rows // batch_size steps. Local batches do not fall below LOCAL_ROWS, so that many cores stay usable
+    with a small batch size; the global batch is then larger than asked for.
     ``init`` continues from a fitted model of the same spec.
     """
     spark = df.sparkSession
     columns = list(dict.fromkeys([*spec.inputs, *(h.label for h in spec.heads)]))
-    parts = max(1, min(partitions or spark.sparkContext.defaultParallelism, batch_size))
+    rows = df.count()
+    steps = steps_per_epoch(rows, batch_size)
+    parts = partitions or spark.sparkContext.defaultParallelism
+    parts = max(1, min(parts, rows // (4 * max(batch_size // parts, LOCAL_ROWS))))  # a few batches each
+    local = max(batch_size // parts, min(batch_size, LOCAL_ROWS))
     laid = df.select(F.col(key).alias("_key"), *_columns(df, columns)).repartition(parts, "_key")
     laid = laid.sortWithinPartitions("_key").select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        steps = steps_per_epoch(laid.count(), batch_size)
         params = dict(init.params) if init else net.initial(spec, seed)
         zeros = {n: np.zeros_like(a) for n, a in params.items() if net.trainable(n)}
         m, v, log = zeros, dict(zeros), []
         at = rate if callable(rate) else (lambda step, r=rate: r)
         for epoch in range(epochs):
             shared = spark.sparkContext.broadcast((params, m, v))
-            task = _epoch(spec, shared, max(1, batch_size // parts), epoch * steps, at, seed)
+            task = _epoch(spec, shared, local, epoch * steps, at, seed)
             found = _average(laid.mapInArrow(task, "name string, chunk int, rows long, values array<double>"))
             shared.unpersist()
             if not found:

@@ -200,11 +200,7 @@ def random_split_partition(spark, sf):
 @query
 def hash_split(spark, sf):
     df = orders(spark, sf).select("o_orderkey", "o_custkey")
-    pieces = prepare.hash_split(df, ["o_orderkey", "o_custkey"], [0.7, 0.2, 0.1], seed=24)
-    out = pieces[0].withColumn("piece", F.lit(0))
-    for i, p in enumerate(pieces[1:], 1):
-        out = out.union(p.withColumn("piece", F.lit(i)))
-    return out
+    return prepare.with_split(df, ["o_orderkey", "o_custkey"], [0.7, 0.2, 0.1], seed=24, out="piece")
 
 
 # --- features -----------------------------------------------------------------------------------

@@ -109,9 +109,11 @@ def test_full_batch_steps_ignore_layout(spark, line):
     assert losses[1] < losses[0]
 
 
-def test_empty_partitions_do_not_count(spark, line):
+def test_small_tables_and_uneven_partitions(spark, line):
+    """64 rows on 64 partitions asked for: some hold less than a local batch and do not count."""
     model, log = dense.fit_dense(line.where("id < 64"), net.regressor_spec("x", 2, "y", [3]), "id", 64, 1,
                                  partitions=64)
+    assert log.count() == 1
     assert all(np.isfinite(a).all() for a in model.params.values())
 
 
@@ -148,6 +150,17 @@ def test_multitask_and_transfer(spark):
     assert "frozen" not in out.columns and out.where("prediction IS NULL").count() == 0
 
 
+def test_pretrain_save_and_transfer(spark, tmp_path):
+    from broadloom.sources.generate import gen_classification, gen_regression
+    shape = [F.col("f").alias("input_3"), "input_1", "input_2", "output", "id"]
+    classes = gen_classification(spark.range(320), 6).select(*shape, F.col("d").alias("decoder_4"))
+    target = gen_regression(spark.range(320), 6).select(*shape)
+    parent, head = jobs.pretrain_and_transfer(spark, classes, target, "id", 6, str(tmp_path / "p"), encoder=(8, 4), top=(4,))
+    out = jobs.save_predictions(jobs.score_transfer(target, parent, head), str(tmp_path / "scores"))
+    assert out.count() == 320 and "prediction" in out.columns
+    assert {r.layer for r in parent.param_table(spark).collect()} >= {"embed_1", "encoder_2", "norm", "output"}
+
+
 def test_full_batches_only(spark, line):
     model = dense.DenseModel(net.regressor_spec("x", 2, "y", [3]), net.initial(net.regressor_spec("x", 2, "y", [3])))
     assert jobs.score_full_batches(line, model, "id", 300).count() == 3900
