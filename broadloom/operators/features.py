@@ -6,20 +6,50 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadloom.session import materialize
+
 # Rows up to which a lookup table is sent to every executor; larger ones are joined by shuffle.
 BROADCAST_ROWS = 20000
 
 
 def string_index(df: DataFrame, columns: Sequence[str], outputs: Sequence[str],
                  fit_on: DataFrame | None = None) -> DataFrame:
-    """Index by falling frequency, ties by value. One frequency aggregate for all the columns."""
+    """Index by falling frequency, ties by value. One frequency aggregate for all the columns.
+
+    The categories go through the driver: for columns of very many values use ``string_index_join``."""
     indexer = StringIndexer(inputCols=list(columns), outputCols=list(outputs))
     return indexer.fit(df if fit_on is None else fit_on).transform(df)
 
 
+def frequency_index(df: DataFrame, column: str) -> DataFrame:
+    """(value, index) by falling frequency, ties by value, for categories too many for the driver.
+
+    Values are laid out in index order by a range shuffle on (frequency, value), which is unique, so no
+    task holds more than its share however many values tie. The layout is stored before it is numbered:
+    a second run of a range shuffle may cut elsewhere.
+    """
+    order = [F.col("n").desc(), F.col("value").asc()]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    placed = materialize(counts.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "index")
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_p").agg(F.count("*").alias("_c"))  # one row per partition
+    starts = sizes.select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    return placed.join(F.broadcast(starts), "_p").select("value", (rank + F.col("_start")).cast("double").alias("index"))
+
+
+def string_index_join(df: DataFrame, column: str, out: str, fit_on: DataFrame | None = None) -> DataFrame:
+    """``string_index`` by a join with ``frequency_index``: no list of categories on the driver. An unseen
+    category gives null. The table is broadcast only if its checked size allows."""
+    table = frequency_index(df if fit_on is None else fit_on, column)
+    table = F.broadcast(table) if bounded(table) else table
+    return df.join(table, F.col(column) == F.col("value"), "left").drop("value").withColumnRenamed("index", out)
+
+
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features", invalid: str = "error") -> DataFrame:
     """``invalid``: error (null or NaN raises), skip (row dropped) or keep (null becomes NaN)."""
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid=invalid).transform(df)

@@ -125,6 +125,10 @@ def feature_tables() -> None:
         f"SELECT o_orderkey, o.o_orderpriority, o.o_orderstatus, p.i AS priority_index, s.i AS status_index "
         f"FROM orders o JOIN {ranked('o_orderpriority')} p USING (o_orderpriority) "
         f"JOIN {ranked('o_orderstatus')} s USING (o_orderstatus)")
+    parts = ("(SELECT l_partkey::VARCHAR AS part, (row_number() OVER (ORDER BY count(*) DESC, l_partkey::VARCHAR) "
+             "- 1)::DOUBLE AS part_index FROM lineitem GROUP BY l_partkey)")
+    ORACLES["string_index_join"] = (f"SELECT l_orderkey, l_partkey::VARCHAR AS part, part_index FROM lineitem l "
+                                    f"JOIN {parts} p ON p.part = l.l_partkey::VARCHAR")
     ORACLES["assemble_vector"] = ("SELECT l_orderkey, l_quantity AS v0, l_extendedprice AS v1, l_discount AS v2, "
                                   "l_tax AS v3 FROM lineitem")
     ORACLES["assemble_keep_nan"] = ("SELECT l_orderkey, l_quantity AS v0, l_extendedprice AS v1, "

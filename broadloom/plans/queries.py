@@ -212,6 +212,13 @@ def string_index(spark, sf):
     return features.string_index(df, ["o_orderpriority", "o_orderstatus"], ["priority_index", "status_index"])
 
 
+@query
+def string_index_join(spark, sf):
+    """Part numbers as categories: many values, many equal frequencies."""
+    df = lines(spark, sf).select("l_orderkey", F.col("l_partkey").cast("string").alias("part"))
+    return features.string_index_join(df, "part", "part_index")
+
+
 @query
 def assemble_vector(spark, sf):
     df = features.assemble(lines(spark, sf), NUMERIC)

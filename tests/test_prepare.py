@@ -159,6 +159,21 @@ def test_index_order_and_unseen_category(spark):
         features.string_index(df, ["s"], ["i"], fit_on=df.where("s = 'b'")).collect()
 
 
+@pytest.mark.parametrize("limit", [20000, 3])
+def test_index_by_join_agrees_with_the_indexer(spark, monkeypatch, limit):
+    """Ties, a value that holds half of all rows, a null, and both kinds of join."""
+    monkeypatch.setattr(features, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(features.bounded, "__defaults__", (limit,))
+    df = spark.range(600).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("v"), (F.col("id") % 83).cast("string"))).alias("s"))
+    want = sorted((r.s, r.i) for r in features.string_index(df, ["s"], ["i"]).collect())
+    got = features.string_index_join(df.repartition(5), "s", "i")
+    assert sorted((r.s, r.i) for r in got.collect()) == want
+    extra = df.union(spark.createDataFrame([(None,), ("new",)], "s string"))
+    out = features.string_index_join(extra, "s", "i", fit_on=df)
+    assert out.count() == 602 and out.where("i IS NULL").count() == 2
+
+
 def test_lookup_by_broadcast_and_by_shuffle_agree_on_a_hot_id(spark):
     df = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("c"))
     table = spark.range(40).select("id", F.array(F.col("id") * 1.5).alias("vector"))
