@@ -53,7 +53,7 @@ def build_index(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id"
     parts = materialize(benchmark_words(benchmark, item_column, item_text), "items")
     # the benchmark's vocabulary: its size does not depend on the corpus
     numbered = parts.select("term").distinct().select("term", F.row_number().over(Window.orderBy("term")).cast("bigint").alias("number"))
-    ended = numbered.unionByName(docs.sparkSession.createDataFrame([(END, 0)], "term string, number bigint"))
+    ended = numbered.unionByName(docs.sparkSession.range(1).select(F.lit(END).alias("term"), F.lit(0).cast("bigint").alias("number")))
     terms = materialize(ended, "terms")
     tokens = docs.select(*row_key(id_column, text_column), F.posexplode(F.concat(words(text_column), F.array(F.lit(END)))).alias("pos", "term"))
     postings = tokens.join(broadcast_if_small(terms, 128), "term").select(

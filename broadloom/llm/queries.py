@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm import contamination, disclosure, language, packing, simhash
+from broadloom.llm import chunks, contamination, content, disclosure, language, licences, packing, phrases, simhash, urls
 from broadloom.session import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,27 @@ def sha256_of(column) -> F.Column:
     return F.sha2(column.cast("binary") if not isinstance(column, str) else F.col(column).cast("binary"), 256)
 
 
+# The rules of the query, and the words by which hosts of unwanted sites are labelled for training.
+RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+UNWANTED = "adult bet bets betting bingo casino escort gambling jackpot lottery pills poker porn sex slots spam viagra warez xxx".split()
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels: a host with a word of UNWANTED between dots or hyphens is bad. The trees see the features, not the words."""
+    pages = load_table(spark, sf, "pages").select("page_id", "url")
+    marked = urls.lexical(pages).withColumn("_bad", F.rlike("_host", F.lit(r"(?:\A|[.-])(?:" + "|".join(UNWANTED) + r")(?:[.-]|\z)")).cast("int"))
+    model, rates = urls.fit_url_trees(marked)
+    judged = urls.judge(pages, model, rates, RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "probability")
+
+
+@query
+def op2_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = chunks.repeated_passages(load_table(spark, sf, "documents"))
+    return found.withColumnRenamed("_id", "doc_id")
+
+
 @query
 def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_components(load_table(spark, sf, "documents"))
@@ -35,6 +56,11 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
                         sha256_of(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
+@query
+def op5_licences(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.scan(load_table(spark, sf, "documents")).withColumnRenamed("_id", "doc_id")
+
+
 @query
 def op6_pack(spark: SparkSession, sf: str) -> DataFrame:
     found = packing.packed(load_table(spark, sf, "documents"))
@@ -51,6 +77,18 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "mixture")
 
 
+@query
+def op8_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.edited_fingerprints(load_table(spark, sf, "documents")).withColumnRenamed("_id", "doc_id")
+
+
+@query
+def op9_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = load_table(spark, sf, "pages")
+    found = content.main_text(pages, content.fit_weights(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op10_disclosure(spark: SparkSession, sf: str) -> DataFrame:
     found = disclosure.sensitive_spans(load_table(spark, sf, "documents"))
