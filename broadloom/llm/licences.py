@@ -62,6 +62,7 @@ GAP = 2
 
 HINT = re.compile(r"licen[cs]e|permission|copyright|redistribut|public domain|all rights|as is|neither the name|notice shall|in compliance|\(c\)", re.I)
 SENTENCE = re.compile(r"[^\n.!?;]*(?:[.](?=\w)[^\n.!?;]*)*[.!?;\n]*", re.S)
+WORD = re.compile(r"\w")
 COMPILED = [(name, re.compile(pattern)) for name, pattern in SENTENCES.items()]
 DROP = re.compile(r"[\"'`*#/<>|“”‘’]+(?=\s|$)|(?:(?<=\s)|^)[\"'`*#/<>|“”‘’]+")
 
@@ -76,7 +77,7 @@ def sentence_ids(text: str) -> list[tuple[str, int, int]]:
     is also looked up joined with the lines behind it, up to four."""
     if not HINT.search(text):
         return []
-    spans = [(m.start(), m.end()) for m in SENTENCE.finditer(text) if m.end() > m.start() and not m.group().isspace()]
+    spans = [(m.start(), m.end()) for m in SENTENCE.finditer(text) if WORD.search(m.group())]
     out, skip = [], -1
     for i, (start, _) in enumerate(spans):
         if i <= skip:
