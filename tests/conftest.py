@@ -13,7 +13,7 @@ from broadloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, app="tests")
+    session = local_session(os.environ.get("BROADLOOM_TEST_CORES", "8"), app="tests")
     session.sparkContext.setLogLevel("OFF")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
