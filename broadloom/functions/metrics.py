@@ -5,6 +5,8 @@ All but AUC are one partial aggregate, so only one row per partition is shuffled
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,19 +56,19 @@ def squared_array(target: Column | str, output: Column | str) -> Column:
 
 
 def metric_bce(df: DataFrame, label: str, p: str) -> DataFrame:
-    return df.agg(F.avg(bce(label, p)).alias("bce"))
+    return all_known(df, label, p).agg(F.avg(bce(label, p)).alias("bce"))
 
 
 def metric_focal(df: DataFrame, label: str, p: str, gamma: float = 2.0) -> DataFrame:
-    return df.agg(F.avg(focal(label, p, gamma)).alias("focal"))
+    return all_known(df, label, p).agg(F.avg(focal(label, p, gamma)).alias("focal"))
 
 
 def metric_sparse_ce(df: DataFrame, label: str, probabilities: str) -> DataFrame:
-    return df.agg(F.avg(sparse_ce(label, probabilities)).alias("sparse_ce"))
+    return all_known(df, label, probabilities).agg(F.avg(sparse_ce(label, probabilities)).alias("sparse_ce"))
 
 
 def metric_regression(df: DataFrame, label: str, p: str) -> DataFrame:
-    return df.agg(
+    return all_known(df, label, p).agg(
         F.avg(squared(label, p)).alias("mse"),
         F.avg(absolute(label, p)).alias("mae"),
         F.sqrt(F.avg(squared(label, p))).alias("rmse"),
@@ -75,12 +77,12 @@ def metric_regression(df: DataFrame, label: str, p: str) -> DataFrame:
 
 def metric_classification(df: DataFrame, label: str, p: str, threshold: float = 0.5) -> DataFrame:
     wrong = ((_c(p) > F.lit(threshold)).cast("int") != _c(label)).cast("double")
-    return df.agg(F.avg(wrong).alias("error"), (F.lit(1.0) - F.avg(wrong)).alias("accuracy"))
+    return all_known(df, label, p).agg(F.avg(wrong).alias("error"), (F.lit(1.0) - F.avg(wrong)).alias("accuracy"))
 
 
 def confusion_counts(df: DataFrame, label: str, p: str, threshold: float = 0.5) -> DataFrame:
     yes, true = _c(p) > F.lit(threshold), _c(label) == 1
-    return df.agg(
+    return all_known(df, label, p).agg(
         F.count_if(yes & true).alias("tp"), F.count_if(~yes & ~true).alias("tn"),
         F.count_if(yes & ~true).alias("fp"), F.count_if(~yes & true).alias("fn"),
     )
@@ -96,6 +98,12 @@ def precision_recall(df: DataFrame, label: str, p: str, threshold: float = 0.5)
         share("fp").alias("precision"), share("fn").alias("recall"))
 
 
+def all_known(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The same rows; a null in one of the columns is an error when the rows are read, so that no metric leaves a row out."""
+    missing = reduce(lambda a, b: a | b, [_c(c).isNull() for c in columns])
+    return df.where(F.when(missing, F.raise_error(F.lit("a label or score is null")).cast("boolean")).otherwise(F.lit(True)))
+
+
 def metric_auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
     """Exact ROC AUC; equal scores count half. Null when a class is missing.
 
@@ -103,8 +111,7 @@ def metric_auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> Da
     rows is one row from there on. The running count of negatives is range-partitioned.
     """
     true = (_c(label) == 1).cast("bigint")
-    rows = df.select(_c(score).cast("double").alias("s"), true.alias("pos"), (F.lit(1) - true).alias("neg"))
-    rows = rows.where("s IS NOT NULL AND pos IS NOT NULL")
+    rows = all_known(df, label, score).select(_c(score).cast("double").alias("s"), true.alias("pos"), (F.lit(1) - true).alias("neg"))
     by_score = rows.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ranked = with_running_totals(
         by_score, "s", {"negatives": F.col("neg"), "positives": F.col("pos")}, buckets, finer=rows)

@@ -2,7 +2,7 @@
 
 ``mix`` maps integer keys to [0, PRIME): keys are folded linearly, then raised to the fifth power
 modulo the Mersenne prime 2^31 - 1. As 5 does not divide PRIME - 1, the power is a bijection, so
-distinct single keys below PRIME never collide. Every product stays below 2^62 (safe under ANSI).
+distinct single keys below PRIME never collide. A null key counts as NULL_KEY. Every product stays below 2^62 (safe under ANSI).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 PRIME = 2147483647
 FOLD = 1103515245
 SEED_STEP = 69069
+NULL_KEY = 1540483477  # stands for a null key
 CELL_STEP = 998244353
 
 
@@ -23,7 +24,7 @@ def _int(c: Column | str) -> Column:
 def mix(*keys: Column | str, seed: int = 0) -> Column:
     x = F.lit((seed * SEED_STEP + 1) % PRIME).cast("bigint")
     for k in keys:
-        x = (x * F.lit(FOLD) + F.pmod(_int(k), F.lit(PRIME))) % F.lit(PRIME)
+        x = (x * F.lit(FOLD) + F.coalesce(F.pmod(_int(k), F.lit(PRIME)), F.lit(NULL_KEY))) % F.lit(PRIME)
     square = x * x % F.lit(PRIME)
     return square * square % F.lit(PRIME) * x % F.lit(PRIME)
 

@@ -6,8 +6,8 @@ partial sums per (node, feature), and a top-1 aggregate picks the split of every
 one row per node, never data.
 
 Rows are not exploded to rows x features. A task streams its rows, so its memory is one histogram
-block (nodes x features x bins, at most BLOCK_BYTES); the number of tasks is held to the cluster's
-cores, which bounds what is shuffled per level whatever the table size. Split gain follows Chen & Guestrin (2016):
+block (nodes x features x bins, at most BLOCK_BYTES); a task sends at most one block a level, so input splits of
+a good size bound the shuffle. Split gain follows Chen & Guestrin (2016):
 0.5 * [GL^2/(HL+lambda) + GR^2/(HR+lambda) - G^2/(H+lambda)] - gamma.
 """
 
@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -29,7 +30,6 @@ from broadloom.session import materialize
 
 MISSING = 255  # bin byte of a missing value; real bins are 0..254
 BLOCK_BYTES = 2 ** 28  # gradient sums a task holds; a level with more nodes than fit takes several passes
-SUBTRACT_ROWS = 2 ** 17  # rows per core from which summing only one child of two is worth a join
 NODE_SCHEMA = ("tree int, node int, feature int, bin int, threshold double, missing_left boolean, "
                "gain double, cover double, leaf double")
 
@@ -82,16 +82,24 @@ def pick_split(sums: DataFrame, reg_lambda: float, gamma: float, min_child_weigh
              f" - {float(gamma)!r}D AS gain")
     best = F.expr("max_by(struct(feature, bin, missing_left, gain, gl, hl, g, h),"
                   " struct(CAST(gain AS FLOAT), -feature, -bin, NOT missing_left))")
-    return gained.where("gain > 1e-9D").groupBy("node").agg(best.alias("_s")).select("node", "_s.*")
+    return gained.where("gain > 1e-9D AND NOT isnan(gain)").groupBy("node").agg(best.alias("_s")).select("node", "_s.*")
 
 
 # --- arrays inside tasks -----------------------------------------------------------------------
 
 
-def floats(column: pa.Array) -> np.ndarray:
-    """array<double> column -> matrix; a null element becomes NaN."""
+def floats(column: pa.Array, width: int | None = None, name: str = "features") -> np.ndarray:
+    """array<double> column -> matrix; a null element becomes NaN. A null array, or arrays that are not all of one length
+    (``width`` if given), are an error: values must never move between rows."""
+    if not len(column):
+        return np.empty((0, width or 0))
+    lengths = pa.compute.min_max(pa.compute.list_value_length(column)).as_py()
+    width = lengths["max"] if width is None else width
+    if column.null_count or not lengths["min"] == lengths["max"] == width:
+        raise ValueError(f"{name}: every row needs an array of {width} values; {column.null_count} are null, "
+                         f"lengths run from {lengths['min']} to {lengths['max']}")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), width)
 
 
 def to_binary(matrix: np.ndarray) -> pa.Array:
@@ -129,7 +137,7 @@ def binned(features: str, edges: Sequence[Sequence[float]]) -> Column:
 
     @F.arrow_udf("binary")
     def to_bins(column: pa.Array) -> pa.Array:
-        x = floats(column)
+        x = floats(column, len(cuts), features)
         out = np.empty(x.shape, dtype=np.uint8)
         for i, c in enumerate(cuts):
             out[:, i] = np.searchsorted(c, x[:, i], side="right")
@@ -282,28 +290,29 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
                    gamma: float = 0.1, reg_lambda: float = 1.0, min_child_weight: float = 30.0,
                    pos_weight: float = 1.0, max_depth: int = 6, num_round: int = 200, base_margin: float = 0.0,
                    edges: Sequence[Sequence[float]] | None = None, max_bins: int = MISSING,
-                   refresh: int = 25, subtract: bool | None = None) -> BoostModel:
+                   refresh: int = 25, subtract: bool = True, partitions: int | None = None) -> BoostModel:
     """Fit on ``features`` (array<double>, NaN or null element = missing) and a numeric ``label``.
 
     Margins are written back every ``refresh`` trees; between, tasks add the trees since then, so
     neither lineage nor work per level grows with the number of rounds. With ``subtract`` tasks sum
     only the lighter child of each split, and the other comes as parent minus child: half the work and
-    half the shuffle of a level, for one small join. The default does so on large tables.
+    half the shuffle of a level, for one small join.
+
+    ``partitions`` lays the binned table out once; by default it keeps the partitions of the input, whatever cores
+    there are. A null or NaN label is an error.
     """
     spark = df.sparkSession
     if edges is None:
         edges = quantile_edges(df, features, max_bins)
     dim, bins = len(edges), max(len(e) for e in edges) + 1
     y = F.col(label).cast("double")
-    data = materialize(df.select(
+    rows_in = df if partitions is None else df.repartition(partitions)
+    data = materialize(rows_in.select(
         binned(features, edges).alias("bins"), y.alias("label"), class_weight(y, pos_weight).alias("weight"),
         F.lit(float(base_margin)).alias("margin")), "bins")
-    cores = spark.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < cores:  # few input files: spread them once for the many passes to come
-        data = materialize(data.repartition(cores), "bins")
+    if not data.where("label IS NULL OR isnan(label)").isEmpty():
+        raise ValueError(f"{label}: null or NaN labels")
     per_task = max(1, BLOCK_BYTES // (16 * dim * (bins + 1)))
-    if subtract is None:
-        subtract = data.count() // cores > SUBTRACT_ROWS
     rows: list[tuple] = []
     pending: list[dict] = []
     for number in range(num_round):
@@ -314,7 +323,7 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
         for _ in range(max_depth):
             wanted = active if parents is None else lighter
             level = reduce(DataFrame.unionByName, [
-                _histograms(data.coalesce(cores), pending, tree, wanted[at:at + per_task], dim, bins, objective)
+                _histograms(data, pending, tree, wanted[at:at + per_task], dim, bins, objective)
                 for at in range(0, len(wanted), per_task)])
             if parents is not None:
                 level = _with_siblings(parents, level)
@@ -367,7 +376,7 @@ def score_hist_boost(df: DataFrame, model: BoostModel, features: str) -> DataFra
 
     @F.arrow_udf("double")
     def margin(column: pa.Array) -> pa.Array:
-        x = floats(column)
+        x = floats(column, name=features)
         return pa.array(tree_values(shared.value, x, np.full(len(x), base)))
 
     scored = df.withColumn("margin", margin(F.col(features)))

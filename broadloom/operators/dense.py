@@ -28,10 +28,9 @@ from broadloom.functions import metrics
 from broadloom.operators import network as net
 from broadloom.operators.boosting import floats
 from broadloom.operators.network import DenseSpec
-from broadloom.operators.prepare import steps_per_epoch
+from broadloom.operators.prepare import batch_plan
 
 CHUNK = 65536
-LOCAL_ROWS = 8
 LOG_SCHEMA = "run string, epoch int, step long, metric string, value double"
 
 
@@ -61,9 +60,9 @@ def load_params(spark: SparkSession, path: str) -> DenseModel:
 # --- batches ------------------------------------------------------------------------------------
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array, name: str, width: int | None = None) -> np.ndarray:
     if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
-        return floats(column)
+        return floats(column, width or None, name)
     return column.to_numpy(zero_copy_only=False).reshape(-1, 1)
 
 
@@ -74,17 +73,21 @@ def _columns(df: DataFrame, names: Sequence[str]) -> list[Column]:
             for n in names]
 
 
-def _rebatch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[str, np.ndarray]]:
-    """Batches of exactly ``size`` rows; what is left at the end of the partition is dropped."""
+def _rebatch(batches: Iterator[pa.RecordBatch], size: int, widths: dict[str, int]) -> Iterator[dict[str, np.ndarray]]:
+    """Batches of ``size`` rows; what is left at the end of the partition is a smaller one."""
     held: dict[str, np.ndarray] = {}
     for batch in batches:
-        new = {n: _matrix(batch.column(i)) for i, n in enumerate(batch.schema.names)}
+        if not batch.num_rows:
+            continue
+        new = {n: _matrix(batch.column(i), n, widths.get(n)) for i, n in enumerate(batch.schema.names)}
         held = {n: np.concatenate([held[n], v]) if held else v for n, v in new.items()}
         n = len(next(iter(held.values())))
         full = n - n % size
         for at in range(0, full, size):
             yield {k: v[at:at + size] for k, v in held.items()}
         held = {k: v[full:] for k, v in held.items()}
+    if held and len(next(iter(held.values()))):
+        yield held
 
 
 # --- fit ----------------------------------------------------------------------------------------
@@ -96,7 +99,7 @@ def _epoch(spec: DenseSpec, shared, size: int, first: int, rate: Callable[[int],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, m, v = (dict(d) for d in shared.value)
         step, rows, total, rng = first, 0, np.zeros(len(spec.heads)), None
-        for b in _rebatch(batches, size):
+        for b in _rebatch(batches, size, spec.inputs):
             if rng is None:  # dropout masks depend on the data held, not on the task number
                 mark = int(abs(np.nan_to_num(next(iter(b.values()))).sum()) * 1e6) % 2 ** 31
                 rng = np.random.default_rng([seed, first, mark])
@@ -106,12 +109,14 @@ def _epoch(spec: DenseSpec, shared, size: int, first: int, rate: Callable[[int],
             step += 1
             net.adam(p, grads, m, v, step, rate(step))
             p.update(stats)
-            rows += size
-            total += np.array(losses) * size
+            n = len(next(iter(b.values())))
+            rows += n
+            total += np.array(losses) * n
         if rows == 0:
             return
         parts = {f"{k}:{n}": a for k, d in (("p", p), ("m", m), ("v", v)) for n, a in d.items()}
         parts["loss:"] = total / rows
+        parts["rows:"] = np.array([float(rows)])
         for n, a in parts.items():
             flat = np.ravel(a)
             for c, at in enumerate(range(0, len(flat), CHUNK)):
@@ -123,10 +128,11 @@ def _epoch(spec: DenseSpec, shared, size: int, first: int, rate: Callable[[int],
 
 
 def _average(parts: DataFrame) -> dict[str, np.ndarray]:
+    """Means over the tasks, weighted by rows, put together from their chunks; ``rows:`` is the number of rows."""
     mean = Summarizer.metrics("mean").summary(array_to_vector("values"), F.col("rows").cast("double"))["mean"]
     out: dict[str, dict[int, list]] = {}
-    for r in parts.groupBy("name", "chunk").agg(vector_to_array(mean).alias("values")).collect():
-        out.setdefault(r.name, {})[r.chunk] = r["values"]
+    for r in parts.groupBy("name", "chunk").agg(vector_to_array(mean).alias("values"), F.sum("rows").alias("rows")).collect():
+        out.setdefault(r.name, {})[r.chunk] = [r.rows] if r.name == "rows:" else r["values"]
     return {n: np.concatenate([np.array(c[i]) for i in sorted(c)]) for n, c in out.items()}
 
 
@@ -154,24 +160,31 @@ def validation_metrics(df: DataFrame, model: DenseModel) -> dict[str, float]:
 def fit_dense(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, epochs: int = 1,
               rate: float | Callable[[int], float] = 1e-3, validation: DataFrame | None = None,
               init: DenseModel | None = None, partitions: int | None = None, seed: int = 0,
-              run: str = "fit") -> tuple[DenseModel, DataFrame]:
+              run: str = "fit", drop_last: bool = False) -> tuple[DenseModel, DataFrame]:
     """Fit; returns the model and the log table (run, epoch, step, metric, value).
 
-    ``key`` is a unique row id; it fixes the layout. ``batch_size`` is global: each of P partitions (by
-    default one per core) steps through batch_size // P rows at a time, so an epoch has about
-    rows // batch_size steps. Local batches do not fall below LOCAL_ROWS, so that many cores stay usable
-    with a small batch size; the global batch is then larger than asked for.
+    ``key`` is a unique row id; it fixes the layout. ``batch_size`` is global: each of P partitions steps through
+    batch_size // P rows at a time, so an epoch has about rows / batch_size steps. P is ``partitions``, by default the
+    number of partitions of the input, and no more than batch_size. Every row is trained in every epoch: the batch at the
+    end of a partition may be smaller and weighs as many rows as it has. ``drop_last`` trains on whole batches of the
+    table only: the first rows // batch_size * batch_size rows by key. The log's metric ``rows`` counts trained rows.
     ``init`` continues from a fitted model of the same spec.
     """
     spark = df.sparkSession
     columns = list(dict.fromkeys([*spec.inputs, *(h.label for h in spec.heads)]))
-    rows = df.count()
-    steps = steps_per_epoch(rows, batch_size)
-    parts = partitions or spark.sparkContext.defaultParallelism
-    parts = max(1, min(parts, rows // (4 * max(batch_size // parts, LOCAL_ROWS))))  # a few batches each
-    local = max(batch_size // parts, min(batch_size, LOCAL_ROWS))
-    laid = df.select(F.col(key).alias("_key"), *_columns(df, columns)).repartition(parts, "_key")
-    laid = laid.sortWithinPartitions("_key").select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = max(1, min(partitions or df.rdd.getNumPartitions(), batch_size))
+    local = batch_size // parts
+    taken = df.select(F.col(key).alias("_key"), *_columns(df, columns))
+    if drop_last:
+        taken = batch_plan(taken, "_key", batch_size).drop("row_index", "batch")
+    laid = taken.repartition(parts, "_key").sortWithinPartitions("_key").select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = laid.count()
+    if not rows:
+        laid.unpersist()
+        raise ValueError("no rows to train on" + (f": fewer than one batch of {batch_size}" if drop_last else ""))
+    steps = -(-rows // batch_size)
+    if validation is not None:
+        validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         params = dict(init.params) if init else net.initial(spec, seed)
         zeros = {n: np.zeros_like(a) for n, a in params.items() if net.trainable(n)}
@@ -182,25 +195,25 @@ def fit_dense(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, ep
             task = _epoch(spec, shared, local, epoch * steps, at, seed)
             found = _average(laid.mapInArrow(task, "name string, chunk int, rows long, values array<double>"))
             shared.unpersist()
-            if not found:
-                raise ValueError("no partition holds a full local batch; use fewer partitions")
             shaped = {n: found[f"p:{n}"].reshape(a.shape) for n, a in params.items()}
             m, v = ({n: found[f"{k}:{n}"].reshape(a.shape) for n, a in zeros.items()} for k in "mv")
             params = shaped
             done = (epoch + 1) * steps
             for h, value in zip(spec.heads, found["loss:"]):
                 log.append((run, epoch, done, f"{h.layer}_{h.loss}", float(value)))
+            log.append((run, epoch, done, "rows", float(found["rows:"].sum())))
             if validation is not None:
                 now = validation_metrics(validation, DenseModel(spec, params))
                 log += [(run, epoch, done, n, float(x)) for n, x in now.items()]
     finally:
         laid.unpersist()
+        if validation is not None:
+            validation.unpersist()
     return DenseModel(spec, params), spark.createDataFrame(log, LOG_SCHEMA)
 
 
-def batch_gradient(df: DataFrame, model: DenseModel) -> DataFrame:
-    """Gradient of the mean loss over the whole table: (name, position, value). One job; every task
-    gives one row per parameter chunk."""
+def _gradient_parts(df: DataFrame, model: DenseModel) -> DataFrame:
+    """Gradients of the mean loss by task: (name, chunk, rows, values)."""
     spec = model.spec
     names, labels = list(spec.inputs), list(dict.fromkeys(h.label for h in spec.heads))
     shared = df.sparkSession.sparkContext.broadcast(model.params)
@@ -210,7 +223,7 @@ def batch_gradient(df: DataFrame, model: DenseModel) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            b = {n: _matrix(batch.column(i)) for i, n in enumerate(batch.schema.names)}
+            b = {n: _matrix(batch.column(i), n, spec.inputs.get(n)) for i, n in enumerate(batch.schema.names)}
             _, grads, _ = net.backward(spec, shared.value, {n: b[n] for n in names},
                                        {n: b[n] for n in labels}, np.random.default_rng(0))
             rows += batch.num_rows
@@ -222,8 +235,14 @@ def batch_gradient(df: DataFrame, model: DenseModel) -> DataFrame:
                     "name": [n], "chunk": pa.array([c], pa.int32()), "rows": pa.array([rows], pa.int64()),
                     "values": pa.array([g[at:at + CHUNK] / rows], pa.list_(pa.float64()))})
 
-    parts = df.select(*_columns(df, list(dict.fromkeys([*names, *labels])))).mapInArrow(
+    return df.select(*_columns(df, list(dict.fromkeys([*names, *labels])))).mapInArrow(
         run, "name string, chunk int, rows long, values array<double>")
+
+
+def batch_gradient(df: DataFrame, model: DenseModel) -> DataFrame:
+    """Gradient of the mean loss over the whole table: (name, position, value). One job; every task
+    gives one row per parameter chunk."""
+    parts = _gradient_parts(df, model)
     mean = Summarizer.metrics("mean").summary(array_to_vector("values"), F.col("rows").cast("double"))["mean"]
     averaged = parts.groupBy("name", "chunk").agg(vector_to_array(mean).alias("values"))
     return averaged.select("name", F.posexplode("values").alias("pos", "value"), "chunk").select(
@@ -242,11 +261,14 @@ def fit_full_batch(df: DataFrame, spec: DenseSpec, epochs: int = 1, rate: float
         raise ValueError("full-batch steps are defined for dense, embed and concat layers")
     params = dict(init.params) if init else net.initial(spec, seed)
     m, v = ({n: np.zeros_like(a) for n, a in params.items()} for _ in range(2))
-    for step in range(1, epochs + 1):
-        grads: dict[str, np.ndarray] = {n: np.zeros(a.size) for n, a in params.items()}
-        for r in batch_gradient(df, DenseModel(spec, params)).collect():  # one row per parameter value
-            grads[r.name][r.position] = r.value
-        net.adam(params, {n: g.reshape(params[n].shape) for n, g in grads.items()}, m, v, step, rate)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for step in range(1, epochs + 1):
+            found = _average(_gradient_parts(df, DenseModel(spec, params)))
+            grads = {n: found.get(n, np.zeros(a.size)).reshape(a.shape) for n, a in params.items()}
+            net.adam(params, grads, m, v, step, rate)
+    finally:
+        df.unpersist()
     return DenseModel(spec, params)
 
 
@@ -262,7 +284,7 @@ def score_dense(df: DataFrame, model: DenseModel, out: str = "prediction", layer
     shared = df.sparkSession.sparkContext.broadcast(model.params)
 
     def values(columns: Sequence[pa.Array]) -> list[pa.Array]:
-        a, _ = net.forward(spec, shared.value, {n: _matrix(c) for n, c in zip(names, columns)}, until=layer)
+        a, _ = net.forward(spec, shared.value, {n: _matrix(c, n, spec.inputs[n]) for n, c in zip(names, columns)}, until=layer)
         found = []
         for h in heads:
             m = np.ascontiguousarray(a[h], dtype=np.float64)

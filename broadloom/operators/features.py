@@ -13,6 +13,7 @@ from broadloom.session import materialize
 
 # Rows up to which a lookup table is sent to every executor; larger ones are joined by shuffle.
 BROADCAST_ROWS = 20000
+BROADCAST_BYTES = 32 << 20
 
 
 def string_index(df: DataFrame, columns: Sequence[str], outputs: Sequence[str],
@@ -78,18 +79,21 @@ def concat_features(*parts: Column | str) -> Column:
     return F.concat(*parts)
 
 
-def bounded(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``limit`` rows. Reads no more than limit + 1 of them."""
-    return table.limit(limit + 1).count() <= limit
+def bounded(table: DataFrame, limit: int = BROADCAST_ROWS, vector: str | None = None, most: int = BROADCAST_BYTES) -> bool:
+    """True if the table has at most ``limit`` rows and its ``vector`` column at most ``most`` bytes. Reads no more than
+    limit + 1 rows."""
+    size = F.coalesce(F.sum(F.size(vector) * 8 + 24), F.lit(0)) if vector else F.lit(0)
+    found = table.limit(limit + 1).agg(F.count("*").alias("n"), size.alias("size")).first()
+    return found.n <= limit and found.size <= most
 
 
 def lookup(df: DataFrame, id_column: str, table: DataFrame, out: str, small: bool | None = None) -> DataFrame:
     """Embedding lookup: ``table`` has ``id`` and ``vector``; an id outside it gives null.
 
-    A table of checked size is broadcast, so a hot id costs nothing. A larger one is left to Spark's
+    A table of checked rows and bytes is broadcast, so a hot id costs nothing. A larger one is left to Spark's
     shuffle join, whose skew handling splits hot ids.
     """
-    small = bounded(table) if small is None else small
+    small = bounded(table, vector="vector") if small is None else small
     keyed = table.select(F.col("id").cast("int").alias("_id"), F.col("vector").alias(out))
     keyed = F.broadcast(keyed) if small else keyed
     return df.join(keyed, F.col(id_column).cast("int") == F.col("_id"), "left").drop("_id")

@@ -63,7 +63,7 @@ def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], bu
                         finer: DataFrame | None = None) -> DataFrame:
     """Running totals over the whole table in ``order``, without a one-task window.
 
-    ``order`` must be numeric, not null and unique per row. Approximate quantiles cut it into ranges; range
+    ``order`` must be numeric and unique per row; rows without it come last, in no fixed order among themselves. Approximate quantiles cut it into ranges; range
     totals (at most ``buckets`` rows) give each range its offset; inside a range an ordinary window
     finishes the sum. The cuts only balance the work: the totals are exact for any cuts. Adds ``<name>``
     (total up to and including the row) and ``<name>_all`` (grand total) per value.
@@ -81,7 +81,8 @@ def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], bu
     def ranged(table: DataFrame) -> DataFrame:
         table = table.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()],
                              F.col(order).cast("double").alias("_o"))
-        return Bucketizer(splits=splits, inputCol="_o", outputCol="_r", handleInvalid="keep").transform(table).drop("_o")
+        placed = Bucketizer(splits=splits, inputCol="_o", outputCol="_r", handleInvalid="keep").transform(table).drop("_o")
+        return placed.withColumn("_r", F.coalesce("_r", F.lit(float(len(splits)))))  # null: behind all ranges
 
     totals = ranged(source).groupBy("_r").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
     before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,7 +92,7 @@ def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], bu
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in values],
         *[F.sum(f"_t_{n}").over(everything).alias(f"{n}_all") for n in values],
     )
-    inside = Window.partitionBy("_r").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_r").orderBy(F.col(order).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     joined = ranged(df).join(F.broadcast(offsets), "_r", "left")  # at most `buckets` rows
     return joined.select(
         *df.columns,
@@ -101,7 +102,7 @@ def with_running_totals(df: DataFrame, order: str, values: dict[str, Column], bu
 
 
 def batch_plan(df: DataFrame, key: str, batch_size: int, buckets: int = 1024) -> DataFrame:
-    """``row_index`` and ``batch`` in order of a unique numeric key; rows of a partial last batch go.
+    """``row_index`` and ``batch`` in order of a unique numeric key, null keys last; rows of a partial last batch go.
 
     The step count is rows // batch_size, so a table smaller than one batch keeps no row.
     """

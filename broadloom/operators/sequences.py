@@ -80,7 +80,7 @@ def sequence_embed(df: DataFrame, key: str, categorical: dict[str, DataFrame], n
     steps = df.select(key, F.posexplode(F.arrays_zip(*columns)).alias("step", "_s"))
     steps = steps.select(key, "step", *[F.col(f"_s.{c}").alias(c) for c in columns])
     for c, table in categorical.items():
-        steps = lookup(steps, c, table, f"_e_{c}", bounded(table))
+        steps = lookup(steps, c, table, f"_e_{c}", bounded(table, vector="vector"))
     parts = [F.col(f"_e_{c}") for c in categorical] + [F.array(*[F.col(c) for c in numeric])]
     return steps.select(key, "step", F.concat(*parts).alias("step_vector"))
 

@@ -71,38 +71,49 @@ def boosted_job(df: DataFrame, label: str, numeric: Sequence[str], keys: Sequenc
 
 
 def search_job(train: DataFrame, valid: DataFrame, column: str, label: str, space: dict, n_sampling: int = 2,
-               task: str = "classify", learner: str = "gbt", seed: int = 2, **fixed):
-    """Search over ``n_estimators`` and ``max_depth``; returns results, best row and best model.
+               task: str = "classify", learner: str = "gbt", seed: int = 2, metric: str | None = None, mode: str = "min",
+               path: str | None = None, **fixed):
+    """Search over any parameters of the learner; returns results, best row and best model.
 
     ``learner``: ``gbt`` (Spark ML, ``column`` a vector) or ``hist`` (second-order histogram trees,
-    ``column`` an array). ``fixed`` goes to every fit.
+    ``column`` an array). The space may name any parameter of its fit; ``n_estimators`` and ``max_depth`` are taken by
+    both. A name that the fit does not know is an error. ``metric``: a column of the task's metrics, by default
+    error or rmse; ``mode``: min or max. The best model is saved at ``path`` if given. ``fixed`` goes to every fit.
     """
     trials = search.expand_trials(train.sparkSession, space, n_sampling, seed)
     if learner == "hist" and "edges" not in fixed:
         fixed["edges"] = boosting.quantile_edges(train, column)  # one pass for all trials
 
+    names = {"n_estimators": "num_round"} if learner == "hist" else {"n_estimators": "rounds", "max_depth": "depth"}
+
     def fit(data: DataFrame, p: dict):
+        given = {names.get(k, k): v for k, v in p.items() if k != "trial"} | fixed
         if learner == "hist":
             goal = "binary:logistic" if task == "classify" else "reg:squarederror"
-            return boosting.fit_hist_boost(data, column, label, goal, num_round=p["n_estimators"],
-                                           max_depth=p["max_depth"], **fixed)
-        return trees.fit_gbt(data, column, label, task, rounds=p["n_estimators"], depth=p["max_depth"], **fixed)
+            return boosting.fit_hist_boost(data, column, label, goal, **given)
+        return trees.fit_gbt(data, column, label, task, **given)
 
     def judge(data: DataFrame, model) -> DataFrame:
         score = boosting.score_hist_boost if learner == "hist" else trees.score_gbt
-        metric = metrics.metric_classification if task == "classify" else metrics.metric_regression
-        return metric(score(data, model, column), label, "prediction")
+        measure = metrics.metric_classification if task == "classify" else metrics.metric_regression
+        return measure(score(data, model, column), label, "prediction")
 
-    metric = "error" if task == "classify" else "rmse"
+    metric = metric or ("error" if task == "classify" else "rmse")
     results, models = search.run_trials(train, valid, trials, fit, judge, metric)
-    best = search.best_trial(results, metric)
-    return results, best, models[best.first().trial]
+    best = search.best_trial(results, metric, mode)
+    model = models[best.first().trial]
+    if path is not None:
+        if learner == "hist":
+            model.save(train.sparkSession, path)
+        else:
+            trees.save_model(model, path)
+    return results, best, model
 
 
 def multitask_job(df: DataFrame, spec: DenseSpec, key: str, batch_size: int, epochs: int = 1,
                   **options) -> tuple[DenseModel, DataFrame]:
     """Multi-task net with the stepwise learning rate."""
-    steps = prepare.steps_per_epoch(df.count(), batch_size)
+    steps = -(-df.count() // batch_size)
     boundaries = decay_boundaries(steps)
     return dense.fit_dense(df, spec, key, batch_size, epochs,
                            rate=lambda step: lr_at(step, boundaries, DECAY_VALUES), **options)
@@ -111,9 +122,11 @@ def multitask_job(df: DataFrame, spec: DenseSpec, key: str, batch_size: int, epo
 def transfer_job(train: DataFrame, parent: DenseModel, key: str, label: str, batch_size: int, epochs: int = 1,
                  units: Sequence[int] = (512, 256, 128, 64), layer: str = "concatenate",
                  **options) -> tuple[DenseModel, DataFrame]:
-    """Frozen parent, cut at ``layer``, with a new regression head fitted on its features."""
+    """Frozen parent, cut at ``layer``, with a new regression head fitted on its features at the stepwise rate."""
     frozen = dense.frozen_features(train, parent, layer).select(key, label, "frozen")
     spec = dense.transfer_spec(parent.spec.widths()[layer], label, units)
+    boundaries = decay_boundaries(-(-train.count() // batch_size))
+    options = {"rate": lambda step: lr_at(step, boundaries, DECAY_VALUES)} | options
     return dense.fit_dense(frozen, spec, key, batch_size, epochs, **options)
 
 

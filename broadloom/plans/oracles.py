@@ -36,7 +36,7 @@ def r9(text: str) -> str:
 def _x(keys: list[str], seed: int) -> str:
     x = f"{(seed * 69069 + 1) % P}::BIGINT"
     for k in keys:
-        x = f"(({x}) * 1103515245 + ({k})::BIGINT % {P}) % {P}"
+        x = f"(({x}) * 1103515245 + coalesce(({k})::BIGINT % {P}, 1540483477)) % {P}"
     return x
 
 
@@ -116,6 +116,10 @@ def tables() -> None:
                              f"WHEN h % 1000000 < 900000 THEN 1 ELSE 2 END AS piece FROM {h}")
 
 
+    h = _mix("(SELECT o_orderkey, nullif(o_custkey % 50, 0) AS k FROM orders)", ["o_orderkey", "k"], 24, "o_orderkey, k")
+    ORACLES["hash_split_nulls"] = ORACLES["hash_split"].split(" FROM ")[0].replace("o_custkey", "k") + f" FROM {h}"
+
+
 def feature_tables() -> None:
     def ranked(c: str) -> str:
         return (f"(SELECT {c}, (row_number() OVER (ORDER BY count(*) DESC, {c}) - 1)::DOUBLE AS i "
@@ -302,6 +306,13 @@ def _adam(x: list[str], rounds: int, rate: float) -> str:
 
 def steps() -> None:
     ORACLES["batch_plan"] = f"SELECT * FROM {_plan('orders', 'o_orderkey', 160, 'o_orderkey, o_totalprice')}"
+    ORACLES["batch_plan_nulls"] = (
+        "SELECT batch, count(*) AS n_rows, count(k) AS n_keys, min(i) AS first FROM (SELECT k, i, i // 160 AS batch, n FROM ("
+        "SELECT k, row_number() OVER (ORDER BY k NULLS LAST) - 1 AS i, count(*) OVER () AS n FROM (SELECT CASE WHEN o_custkey % 50 <> 0 "
+        "THEN o_orderkey END AS k FROM orders))) WHERE batch < n // 160 GROUP BY batch")
+    ORACLES["trained_rows"] = (
+        "SELECT run, epoch::INTEGER AS epoch, n_rows FROM (SELECT 'all' AS run, count(*) AS n_rows FROM orders UNION ALL "
+        "SELECT 'whole', count(*) // 256 * 256 FROM orders), range(2) r(epoch)")
     ORACLES["piecewise_lr"] = (
         "SELECT o_orderkey, batch, CASE WHEN batch <= 20 THEN 1e-3 WHEN batch <= 40 THEN 1e-2 "
         f"WHEN batch <= 60 THEN 1e-4 ELSE 1e-3 END AS rate FROM {_plan('orders', 'o_orderkey', 160, 'o_orderkey')}")

@@ -203,6 +203,13 @@ def hash_split(spark, sf):
     return prepare.with_split(df, ["o_orderkey", "o_custkey"], [0.7, 0.2, 0.1], seed=24, out="piece")
 
 
+@query
+def hash_split_nulls(spark, sf):
+    """One key in fifty is null; its rows have a piece like any other."""
+    df = orders(spark, sf).select("o_orderkey", F.nullif(F.col("o_custkey") % 50, F.lit(0)).alias("k"))
+    return prepare.with_split(df, ["o_orderkey", "k"], [0.7, 0.2, 0.1], seed=24, out="piece")
+
+
 # --- features -----------------------------------------------------------------------------------
 
 
@@ -388,6 +395,14 @@ def batch_plan(spark, sf):
     return prepare.batch_plan(orders(spark, sf).select("o_orderkey", "o_totalprice"), "o_orderkey", 160)
 
 
+@query
+def batch_plan_nulls(spark, sf):
+    """Orders without a key come last: batches and the rows they hold."""
+    df = orders(spark, sf).select(F.when(F.col("o_custkey") % 50 != 0, F.col("o_orderkey")).alias("k"))
+    plan = prepare.batch_plan(df, "k", 160)
+    return plan.groupBy("batch").agg(F.count("*").alias("n_rows"), F.count("k").alias("n_keys"), F.min("row_index").alias("first"))
+
+
 def stepped_rates(spark, sf) -> DataFrame:
     plan = prepare.batch_plan(orders(spark, sf).select("o_orderkey"), "o_orderkey", 160)
     return plan.select("o_orderkey", "batch", piecewise_lr("batch", [20, 40, 60], [1e-3, 1e-2, 1e-4, 1e-3]).alias("rate"))
@@ -660,6 +675,16 @@ def dense_regress(spark, sf):
     return log
 
 
+@query
+def trained_rows(spark, sf):
+    """Rows that each epoch of a fit has trained: all of them, and with ``drop_last`` whole batches."""
+    rows, spec = order_rows(spark, sf), net.regressor_spec("x", 3, "target", [4])
+    logs = [dense.fit_dense(rows, spec, "o_orderkey", batch_size=256, epochs=2, partitions=8, run=name, drop_last=drop)[1]
+            for name, drop in (("all", False), ("whole", True))]
+    both = logs[0].unionByName(logs[1]).where("metric = 'rows'")
+    return both.select("run", "epoch", F.col("value").cast("bigint").alias("n_rows"))
+
+
 @query
 def multitask_fit(spark, sf):
     model, log = jobs.multitask_job(two_head_rows(spark, sf), two_heads(), "vec_id", batch_size=40, epochs=2)

@@ -66,7 +66,7 @@ def main() -> int:
 
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and "/" in args[0] else "/root/testdata/sf0.01"
-    spark, con = local_session(8), connect(sf_dir)
+    spark, con = local_session(os.environ.get("BROADLOOM_TEST_CORES", "8")), connect(sf_dir)
     spark.sparkContext.setLogLevel("OFF")
     bad = 0
     for name, fn in queries().items():

@@ -126,3 +126,25 @@ def test_regression_lowers_the_error(spark, table):
     gap = boosting.score_hist_boost(df, model, "x").agg(
         F.avg(F.pow(F.col("prediction") - F.col("t"), 2)).alias("after"), F.avg(F.col("t") * F.col("t")).alias("before"))
     assert gap.first().after < gap.first().before / 5
+
+
+def test_bad_rows_are_refused(spark):
+    rows = spark.range(50).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("x"), (F.col("id") % 2).alias("y"), "id")
+    options = {"edges": [[10.0, 20.0], [0.5]], "num_round": 1, "max_depth": 1, "min_child_weight": 1.0}
+    with pytest.raises(ValueError, match="null or NaN labels"):
+        boosting.fit_hist_boost(rows.withColumn("y", F.when(F.col("id") != 3, F.col("y"))), "x", "y", **options)
+    for bad in (F.when(F.col("id") != 3, F.col("x")), F.when(F.col("id") % 2 == 0, F.array(F.lit(1.0))).otherwise(F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0)))):
+        with pytest.raises(Exception, match="array of 2 values"):
+            boosting.fit_hist_boost(rows.withColumn("x", bad), "x", "y", **options)
+    model = boosting.fit_hist_boost(rows, "x", "y", **options)
+    assert boosting.score_hist_boost(rows.limit(0), model, "x").count() == 0
+    nan = spark.createDataFrame([(1, 0, 0, float("nan"), 1.0), (1, 0, 1, 1.0, 1.0)], "node int, feature int, bin int, g double, h double")
+    assert boosting.best_split(nan).count() == 0
+
+
+def test_same_trees_on_any_number_of_partitions(spark):
+    rows = spark.range(4000).select(F.array(F.col("id") % 37 * 1.0, F.col("id") % 11 * 1.0).alias("x"), (F.col("id") % 37 > 20).cast("int").alias("y"))
+    options = {"edges": [[float(i) for i in range(36)], [float(i) for i in range(10)]], "num_round": 3, "max_depth": 3}
+    one = boosting.fit_hist_boost(rows, "x", "y", partitions=2, **options).rows
+    two = boosting.fit_hist_boost(rows, "x", "y", partitions=200, **options).rows
+    assert [r[:6] for r in one] == [r[:6] for r in two]

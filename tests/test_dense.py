@@ -63,9 +63,11 @@ def test_fit_is_repeatable_ignores_layout_and_learns(spark, line):
     two, _ = dense.fit_dense(line.repartition(3), spec, "id", 64, 4, rate=1e-2, partitions=4, seed=1)
     for n, a in one.params.items():
         assert np.allclose(a, two.params[n], rtol=1e-6, atol=1e-8), n
-    losses = [r.value for r in log.orderBy("epoch").collect()]
+    rows = log.where("metric <> 'rows'").orderBy("epoch").collect()
+    losses = [r.value for r in rows]
     assert losses[-1] < losses[0] / 10 and losses[-1] < 0.05
-    assert [r.step for r in log.orderBy("epoch").collect()] == [62, 124, 186, 248]
+    assert [r.step for r in rows] == [63, 126, 189, 252]
+    assert {r.value for r in log.where("metric = 'rows'").collect()} == {4000.0}
 
 
 def test_one_partition_is_plain_minibatch_training(spark, line):
@@ -86,7 +88,23 @@ def test_one_partition_is_plain_minibatch_training(spark, line):
 
 def test_too_few_rows_are_refused(spark, line):
     with pytest.raises(ValueError, match="fewer than one batch"):
-        dense.fit_dense(line.limit(31), net.regressor_spec("x", 2, "y", [3]), "id", 32)
+        dense.fit_dense(line.limit(31), net.regressor_spec("x", 2, "y", [3]), "id", 32, drop_last=True)
+    _, log = dense.fit_dense(line.limit(31), net.regressor_spec("x", 2, "y", [3]), "id", 32)
+    assert log.where("metric = 'rows'").first().value == 31
+
+
+def test_every_row_is_trained_and_no_array_runs_on(spark, line):
+    spec = net.regressor_spec("x", 2, "y", [3])
+    for partitions in (1, 7, 64):
+        _, log = dense.fit_dense(line.limit(1003), spec, "id", 32, 2, partitions=partitions)
+        assert {r.value for r in log.where("metric = 'rows'").collect()} == {1003.0}
+        _, log = dense.fit_dense(line.limit(1003), spec, "id", 32, partitions=partitions, drop_last=True)
+        assert log.where("metric = 'rows'").first().value == 992
+    for bad in (F.when(F.col("id") != 3, F.col("x")), F.when(F.col("id") != 3, F.col("x")).otherwise(F.array(F.lit(1.0)))):
+        with pytest.raises(Exception, match="array of 2 values"):
+            dense.fit_dense(line.withColumn("x", bad), spec, "id", 32)
+        with pytest.raises(Exception, match="array of 2 values"):
+            dense.score_dense(line.withColumn("x", bad), dense.DenseModel(spec, net.initial(spec))).collect()
 
 
 def test_bad_rows_are_refused(spark, line):
@@ -110,10 +128,10 @@ def test_full_batch_steps_ignore_layout(spark, line):
 
 
 def test_small_tables_and_uneven_partitions(spark, line):
-    """64 rows on 64 partitions asked for: some hold less than a local batch and do not count."""
+    """64 rows on 64 partitions asked for: some are empty."""
     model, log = dense.fit_dense(line.where("id < 64"), net.regressor_spec("x", 2, "y", [3]), "id", 64, 1,
                                  partitions=64)
-    assert log.count() == 1
+    assert log.count() == 2
     assert all(np.isfinite(a).all() for a in model.params.values())
 
 
@@ -125,7 +143,7 @@ def test_save_load_and_warm_start(spark, line, tmp_path):
     model, log = jobs.train_job(train, valid, "id", str(tmp_path) + "/", "/next", str(tmp_path / "template"), 64, 2,
                                 partitions=2)
     rows = {(r.epoch, r.metric): r.value for r in log.collect()}
-    assert set(m for _, m in rows) == {"output_mse", "val_output_mse"}
+    assert set(m for _, m in rows) == {"output_mse", "val_output_mse", "rows"}
     again = jobs.inference_job(valid, str(tmp_path), "next")
     mse = again.agg(F.avg(F.pow(F.col("prediction") - F.col("y"), 2))).first()[0]
     assert mse == pytest.approx(rows[1, "val_output_mse"], rel=1e-6)
@@ -140,7 +158,7 @@ def test_multitask_and_transfer(spark):
     target = gen_regression(spark.range(600), 12).select("id", "input_1", "input_2", F.col("f").alias("input_3"), "output")
     spec = net.multitask_spec(12, 12, encoder=(16, 8), top=(8,))
     parent, log = jobs.multitask_job(classes, spec, "id", 60, partitions=3)
-    assert {r.metric for r in log.collect()} == {"decoder_3_mse", "output_sparse_ce"}
+    assert {r.metric for r in log.collect()} == {"decoder_3_mse", "output_sparse_ce", "rows"}
     scored = dense.score_dense(classes, parent).first().prediction
     assert len(scored.decoder_3) == 12 and sum(scored.output) == pytest.approx(1.0)
     before = {n: a.copy() for n, a in parent.params.items()}

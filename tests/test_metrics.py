@@ -59,3 +59,10 @@ def test_rate_is_constant_until_a_hundred_epochs(spark):
     assert got == [1e-3, 1e-3, 1e-3, 1e-3, 1e-4, 1e-4]
     assert got == [lr_at(s, cuts, DECAY_VALUES) for s in (0, 1, 4999, 5000, 5001, 10 ** 6)]
     assert [lr_at(s, [2, 4], [1, 2, 3]) for s in range(6)] == [1, 1, 1, 2, 2, 3]
+
+
+def test_nulls_are_refused(spark):
+    rows = spark.createDataFrame([(1, 0.5), (0, None), (1, 0.7)], "y int, p double")
+    for metric in (metrics.metric_auc, metrics.metric_bce, metrics.metric_regression, metrics.metric_classification, metrics.confusion_counts):
+        with pytest.raises(Exception, match="null"):
+            metric(rows, "y", "p").collect()

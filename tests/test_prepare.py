@@ -163,7 +163,7 @@ def test_index_order_and_unseen_category(spark):
 def test_index_by_join_agrees_with_the_indexer(spark, monkeypatch, limit):
     """Ties, a value that holds half of all rows, a null, and both kinds of join."""
     monkeypatch.setattr(features, "BROADCAST_ROWS", limit)
-    monkeypatch.setattr(features.bounded, "__defaults__", (limit,))
+    monkeypatch.setattr(features.bounded, "__defaults__", (limit, *features.bounded.__defaults__[1:]))
     df = spark.range(600).select(
         F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("v"), (F.col("id") % 83).cast("string"))).alias("s"))
     want = sorted((r.s, r.i) for r in features.string_index(df, ["s"], ["i"]).collect())
@@ -183,3 +183,14 @@ def test_lookup_by_broadcast_and_by_shuffle_agree_on_a_hot_id(spark):
     assert features.lookup(df, "c", table, "e").where("e IS NULL AND c < 40").count() == 0
     assert features.lookup(df, "c", table, "e").where("e IS NOT NULL AND c >= 40").count() == 0
     assert features.bounded(table, 40) and not features.bounded(table, 39)
+    wide = spark.range(40).select("id", F.array_repeat(F.lit(0.5), 1000).alias("vector"))
+    assert features.bounded(wide, vector="vector") and not features.bounded(wide, vector="vector", most=40 * 8000)
+
+
+def test_null_keys_are_kept(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"), "id")
+    pieces = prepare.hash_split(df, ["k"], [0.75, 0.25])
+    assert sum(p.count() for p in pieces) == 1000
+    plan = prepare.batch_plan(df, "k", 100, buckets=8).collect()
+    assert sorted(r.row_index for r in plan) == list(range(1000))
+    assert {r.row_index for r in plan if r.k is None} == set(range(900, 1000))

@@ -73,3 +73,20 @@ def test_log_appends_and_thins(spark, tmp_path):
         report.append_log(spark.createDataFrame(rows, "run string, epoch int, step long, metric string, value double"), path)
     assert report.read_log(spark, path).count() == 20
     assert sorted({r.step for r in report.read_log(spark, path, every=4).collect()}) == [0, 4, 8]
+
+
+def test_search_takes_any_parameter_and_saves_the_best(spark, table, tmp_path):
+    from pyspark.ml.functions import vector_to_array
+
+    from broadloom.operators import boosting
+    df = table.select(F.col("y").cast("double").alias("y"), vector_to_array("features").alias("x"))
+    space = {"n_estimators": search.Grid([1]), "max_depth": search.Grid([2]), "eta": search.Grid([0.1, 0.9])}
+    path = str(tmp_path / "best")
+    results, best, model = jobs.search_job(df, df, "x", "y", space, 1, "regress", "hist", metric="mae", path=path, min_child_weight=1.0)
+    errors = {r.eta: r.mae for r in results.collect()}
+    assert errors[0.1] > errors[0.9] and best.first().eta == 0.9
+    assert boosting.BoostModel.load(spark, path).rows == model.rows
+    worst = jobs.search_job(df, df, "x", "y", space, 1, "regress", "hist", metric="mae", mode="max", min_child_weight=1.0)[1]
+    assert worst.first().eta == 0.1
+    with pytest.raises(TypeError):
+        jobs.search_job(df, df, "x", "y", {"n_estimators": search.Grid([1]), "no_such": search.Grid([1])}, 1, learner="hist")
