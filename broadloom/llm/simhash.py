@@ -187,7 +187,8 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, limit: int = BUCKET)
 
 def near_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS,
                     distance: int = DISTANCE) -> DataFrame:
-    """Rows (_id, _h, _fp, component_id), one per row of ``docs``: the smallest id reachable over near links.
+    """Rows (_id, _h, _fp, component_id, _root), one per row of ``docs``: the smallest id reachable over near links, and the
+    fingerprint that stands for the component (ids may repeat, it tells components apart).
 
     Equal fingerprints are one node however many documents share them. Null and blank texts share fingerprint 0 and
     link like any other. A null id is never the smallest; a component of null ids only has a null component_id. The
@@ -198,7 +199,8 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text_column: str
     roots = components(near_links(nodes.select("_fp"), distance))
     rooted = nodes.join(roots, nodes["_fp"] == roots["node"]).select("_fp", "root", "_first")
     smallest = rooted.groupBy("root").agg(F.min("_first").alias("_least"))
-    linked = rooted.join(smallest, "root").select("_fp", "_least")
-    copies = nodes.where("_n > 1").join(linked, "_fp", "left_anti").select("_fp", F.col("_first").alias("_least"))
+    linked = rooted.join(smallest, "root").select("_fp", "_least", "root")
+    copies = nodes.where("_n > 1").join(linked, "_fp", "left_anti").select("_fp", F.col("_first").alias("_least"), F.col("_fp").alias("root"))
     member = materialize(linked.unionByName(copies), "members")
-    return prints.join(member, "_fp", "left").select("_id", "_h", "_fp", F.coalesce("_least", "_id").alias("component_id"))
+    return prints.join(member, "_fp", "left").select(
+        "_id", "_h", "_fp", F.coalesce("_least", "_id").alias("component_id"), F.coalesce("root", "_fp").alias("_root"))

@@ -25,8 +25,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each SimHash component stays: that of the smallest id, one of its rows if it has several.
     A row without an id stays if its component has no id."""
     found = simhash.near_components(docs).where(F.expr("_id <=> component_id"))
-    kept = found.groupBy(F.coalesce(F.col("component_id").cast("string"), F.hex("_fp")).alias("_group")).agg(
-        F.min(F.struct("_id", "_h")).alias("k")).select(F.col("k._id").alias("_i"), F.col("k._h").alias("_g"))
+    kept = found.groupBy("_root").agg(F.min(F.struct("_id", "_h")).alias("k")).select(F.col("k._id").alias("_i"), F.col("k._h").alias("_g"))
     joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_i"]) & (F.hash(docs["text"]) == kept["_g"]), "left_semi")
     return joined.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
