@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadloom.llm import contamination, disclosure, language, packing, simhash
+from broadloom.llm.common import broadcast_if_small
 from broadloom.session import load_table, materialize
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language: those without a text or a letter go. The model learns from all labelled rows."""
@@ -24,16 +23,18 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: that of the smallest id, one of its rows if it has several.
     A row without an id stays if its component has no id."""
-    found = simhash.near_components(docs).where(F.expr("_id <=> component_id"))
-    kept = found.groupBy("_root").agg(F.min(F.struct("_id", "_h")).alias("k")).select(F.col("k._id").alias("_i"), F.col("k._h").alias("_g"))
+    found = simhash.near_components(docs)
+    firsts = found.where(F.expr("_id <=> component_id")).groupBy("_root").agg(F.min(F.struct("_id", "_h")).alias("k"))
+    kept = broadcast_if_small(materialize(firsts.select(F.col("k._id").alias("_i"), F.col("k._h").alias("_g")), "kept"), 48)
     joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_i"]) & (F.hash(docs["text"]) == kept["_g"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    repeated = found.groupBy("_id", "_h").agg(F.count("*").alias("n")).where("n > 1")
+    return (joined if repeated.isEmpty() else joined.dropDuplicates(["doc_id", "text"])).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies in benchmark windows stay."""
     found = contamination.contamination(docs, load_table(spark, sf_dir, "benchmark")).where("contaminated")
-    bad = found.select(F.col("_id").alias("_i"), F.col("_h").alias("_g")).distinct()
+    bad = broadcast_if_small(materialize(found.select(F.col("_id").alias("_i"), F.col("_h").alias("_g")).distinct(), "bad"), 48)
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_i"]) & (F.hash(docs["text"]) == bad["_g"]), "left_anti")
 
 
