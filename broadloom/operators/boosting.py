@@ -26,7 +26,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from broadloom.session import materialize
+from broadloom.session import materialize, remove_scratch, scratch_path
 
 MISSING = 255  # bin byte of a missing value; real bins are 0..254
 BLOCK_BYTES = 2 ** 28  # gradient sums a task holds; a level with more nodes than fit takes several passes
@@ -315,10 +315,15 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
     per_task = max(1, BLOCK_BYTES // (16 * dim * (bins + 1)))
     rows: list[tuple] = []
     pending: list[dict] = []
+    before: str | None = None
     for number in range(num_round):
         if len(pending) == refresh:
-            data = materialize(data.withColumn("margin", _add_trees("bins", "margin", pending)), "margins")
-            pending = []
+            path = scratch_path(spark, "margins")
+            data.withColumn("margin", _add_trees("bins", "margin", pending)).write.parquet(path)
+            data = spark.read.schema(data.schema).parquet(path)
+            if before is not None:
+                remove_scratch(spark, before)  # one table of margins at a time
+            before, pending = path, []
         tree, active, grown, parents = new_tree(max_depth), [1], {}, None
         for _ in range(max_depth):
             wanted = active if parents is None else lighter
@@ -366,6 +371,8 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
             else:
                 rows.append((number, n, None, None, None, None, None, float(cover), float(tree["leaf"][n])))
         pending.append(tree)
+    if before is not None:
+        remove_scratch(spark, before)
     return BoostModel(rows, objective, base_margin, max_depth)
 
 
@@ -392,7 +399,7 @@ def boost_split_counts(nodes: DataFrame) -> DataFrame:
 
 
 def boost_importances(nodes: DataFrame) -> DataFrame:
-    """Share of each feature in the total split gain."""
+    """Share of each feature in the total split gain. The total is over one row a feature, in one task."""
     per = nodes.where(F.col("feature").isNotNull()).groupBy("feature").agg(F.sum("gain").alias("gain"))
-    return per.select("feature", "gain", (F.col("gain") / F.sum("gain").over(Window.partitionBy(F.lit(1))))
+    return per.select("feature", "gain", (F.col("gain") / F.sum("gain").over(Window.partitionBy()))
                       .alias("importance"))

@@ -56,3 +56,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``scratch_path`` named, once nothing reads it any more."""
+    if not path.startswith(f"{scratch_base(spark)}/"):
+        raise ValueError(f"{path} is not in the scratch folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
