@@ -9,6 +9,7 @@ threshold are removed with the entity, terms between the thresholds are replaced
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -119,38 +120,41 @@ def find_base(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 
 def term_documents(docs: DataFrame, terms: DataFrame, text_column: str = "text") -> DataFrame:
-    """(term, held): in how many distinct texts (by hash) of the whole corpus each candidate term stands."""
+    """(term, held): in how many documents of the whole corpus each candidate term stands. Tasks count before they
+    send: a row a term and task."""
     if small_enough(terms, 64):
         wanted = frozenset(r.term for r in terms.toLocalIterator())
         if not wanted:
             return terms.select("term", F.lit(0).cast("bigint").alias("held"))
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: Counter = Counter()
             for batch in pieces(batches, "_text"):
-                found, hashes = [], []
-                for text, h in zip(batch.column("_text").to_pylist(), batch.column("_x").to_pylist(), strict=True):
-                    here = wanted.intersection(TERM.findall(text.lower()))
-                    found.extend(here)
-                    hashes.extend([h] * len(here))
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(hashes, pa.int64())], names=["term", "_x"])
-
-        source = docs.where(F.col(text_column).isNotNull()).select(F.col(text_column).alias("_text"), F.xxhash64(text_column).alias("_x"))
-        held = source.mapInArrow(run, "term string, _x bigint")
-    else:  # any number of terms: a shuffle join of pre-aggregated words
-        lists = docs.select(F.xxhash64(text_column).alias("_x"), F.explode(F.array_distinct(
-            F.regexp_extract_all(F.lower(text_column), F.lit(r"(?U)[\p{L}]{3,}"), F.lit(0)))).alias("term"))
-        held = lists.join(terms, "term")
-    return held.distinct().groupBy("term").agg(F.count("*").alias("held"))
+                for text in batch.column("_text").to_pylist():
+                    held.update(wanted.intersection(TERM.findall(text.lower())))
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["term", "n"])
+
+        source = docs.where(F.col(text_column).isNotNull()).select(F.col(text_column).alias("_text"))
+        counted = source.mapInArrow(run, "term string, n bigint")
+    else:  # any number of terms: words counted in full, then a shuffle join
+        words = F.array_distinct(F.regexp_extract_all(F.lower(text_column), F.lit(r"(?U)[\p{L}]{3,}"), F.lit(0)))
+        counted = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
+    return counted.groupBy("term").agg(F.sum("n").alias("held"))
 
 
 def disclosures(found: DataFrame, docs: DataFrame, text_column: str = "text", support: int = SUPPORT) -> DataFrame:
     """(entity, term, disclosure): for pairs that stand together in at least ``support`` distinct texts.
 
-    Copies of a text count once, so that a passage spread by copying discloses no more than one document would.
+    Frequencies are those of documents. Copies of a text count once for the support, so that a passage spread by copying
+    discloses no more than one document would.
     """
-    near = found.where(F.size("near") > 0).select("_h", F.explode("near").alias("x")).select("_h", "x.entity", "x.term").distinct()
-    pairs = materialize(near.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support), "pairs")
-    entities = near.select("_h", "entity").distinct().groupBy("entity").agg(F.count("*").alias("own"))
+    pair = F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.entity.alias("entity"), x.term.alias("term")))))
+    near = found.where(F.size("near") > 0)
+    texts = near.select("_h", pair.alias("x")).groupBy("x.entity", "x.term", "_h").agg(F.count("*").alias("n"))
+    pairs = texts.groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("both")).where(F.col("texts") >= support)
+    pairs = materialize(pairs, "pairs")
+    own = F.explode(F.array_distinct(F.transform("near", lambda x: x.entity)))
+    entities = near.select(own.alias("entity")).groupBy("entity").agg(F.count("*").alias("own"))
     held = term_documents(docs, pairs.select("term").distinct(), text_column)
     joined = pairs.join(entities, "entity").join(held, "term")
     whole = F.lit(float(found.count() + 1))
