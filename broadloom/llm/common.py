@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from broadloom.session import materialize
 
 BROADCAST_BYTES = 32 << 20
+#: Rows of text in an Arrow batch, where the session has Spark's default: at some KB a text, that default makes batches of
+#: tens of MB outside the heap for every task.
+BATCH_ROWS = 2000
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 LOWER_BYTES = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
 
@@ -40,6 +44,14 @@ def broadcast_if_small(table: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(table) if small_enough(table, row_bytes) else table
 
 
+def map_texts(texts: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` over rows of text, in batches of BATCH_ROWS unless the session asks for a size of its own."""
+    conf = texts.sparkSession.conf
+    if conf.get(BATCH_CONF) == "10000":
+        conf.set(BATCH_CONF, str(BATCH_ROWS))
+    return texts.mapInArrow(run, schema)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of batches with about ``chars`` bytes of text each, so that Python never holds a whole batch of
     long texts decoded. A single text is never cut."""
@@ -53,6 +65,8 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, chars: int = 4 << 20) -
             held += n or 0
         if start < batch.num_rows:
             yield batch.slice(start)
+        del batch, column
+        pa.default_memory_pool().release_unused()
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import pieces, small_enough
+from broadloom.llm.common import map_texts, pieces, small_enough
 from broadloom.session import materialize
 
 # The patterns of the base spans, in the order in which equal starts are listed.
@@ -116,7 +116,7 @@ def find_base(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(id_column).alias("_id"), F.hash(text_column).alias("_h"), F.col(text_column).alias("_text"))
-    return source.mapInArrow(run, f"_id {kind}, _h int, spans array<{SPAN}>, near array<{NEAR}>")
+    return map_texts(source, run, f"_id {kind}, _h int, spans array<{SPAN}>, near array<{NEAR}>")
 
 
 def term_documents(docs: DataFrame, terms: DataFrame, text_column: str = "text") -> DataFrame:
@@ -135,7 +135,7 @@ def term_documents(docs: DataFrame, terms: DataFrame, text_column: str = "text")
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["term", "n"])
 
         source = docs.where(F.col(text_column).isNotNull()).select(F.col(text_column).alias("_text"))
-        counted = source.mapInArrow(run, "term string, n bigint")
+        counted = map_texts(source, run, "term string, n bigint")
     else:  # any number of terms: words counted in full, then a shuffle join
         words = F.array_distinct(F.regexp_extract_all(F.lower(text_column), F.lit(r"(?U)[\p{L}]{3,}"), F.lit(0)))
         counted = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import pieces
+from broadloom.llm.common import map_texts, pieces
 
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 1000
@@ -75,7 +75,7 @@ def fit_languages(docs: DataFrame, text_column: str = "text", lang_column: str =
         yield from flush()
 
     rows = docs.select(F.col(text_column).alias("_text"), F.col(lang_column).alias("_lang")).dropna()
-    counts = rows.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = map_texts(rows, count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counts.limit(BUCKETS * MAX_LANGUAGES).toArrow()
     langs = sorted(set(found.column("lang").to_pylist()))
     if len(langs) >= MAX_LANGUAGES:
@@ -157,4 +157,4 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", l
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = [f"`{c}` {kinds[c]}" for c in names] + [f"`{lang_out}` string", f"`{score_out}` double"]
     schema += [f"`{mix_out}` map<string,double>"] if mix_out else []
-    return docs.mapInArrow(run, ", ".join(schema))
+    return map_texts(docs, run, ", ".join(schema))

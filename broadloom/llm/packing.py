@@ -10,6 +10,7 @@ is then dealt out to the pieces by their rank among those of equal length, in Sp
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -19,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import pieces
+from broadloom.llm.common import map_texts, pieces
 from broadloom.session import materialize
 
 CAPACITY = 2048
 GROUPS = 96
 ROUNDS = 400
-SALTS = 256
+SALTS = 64
 _STATE: dict = {}
 
 
@@ -34,10 +35,10 @@ class ByteBpe:
     where its rank file is given; special tokens and texts it refuses go the slow way, with equal ids."""
 
     def __init__(self, tokenizer_path: str, ranks_path: str | None = None, pattern: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(tokenizer_path)
-        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.slow = None  # loaded when it is needed: it takes as much memory as the fast one
+        self.path = tokenizer_path
+        with open(tokenizer_path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
         self.fast = None
         if ranks_path:
             import tiktoken
@@ -53,6 +54,10 @@ class ByteBpe:
             except BaseException as error:  # its regex engine gives up on some very long runs
                 if isinstance(error, (KeyboardInterrupt, SystemExit)):
                     raise
+        if self.slow is None:
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.path)
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
@@ -97,7 +102,7 @@ def tokenised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(id_column).alias("_id"), F.hash(text_column).alias("_h"), F.col(text_column).alias("_text"))
-    return source.mapInArrow(run, f"_id {kind}, _h int, piece int, start bigint, length bigint, crc bigint")
+    return map_texts(source, run, f"_id {kind}, _h int, piece int, start bigint, length bigint, crc bigint")
 
 
 def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> list[int]:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import LOWER_BYTES, components, pieces
+from broadloom.llm.common import LOWER_BYTES, components, map_texts, pieces
 from broadloom.session import materialize
 
 WORDS = 3
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(id_column).alias("_id"), F.hash(text_column).alias("_h"), F.col(text_column).alias("_text"))
-    return source.mapInArrow(run, f"_id {kind}, _h int, _fp bigint")
+    return map_texts(source, run, f"_id {kind}, _h int, _fp bigint")
 
 
 def forest(prints: np.ndarray, distance: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
