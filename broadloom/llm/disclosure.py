@@ -1,15 +1,16 @@
 """Personal data: patterns, and terms that disclose it by corpus co-occurrence.
 
-Base spans are found by fixed patterns. Each distinct value found is a protected entity. A term near an entity
-discloses it as far as knowing the term tells the entity: the pointwise mutual information of term and entity over
-the corpus, as a share of the entity's own information (1: the term alone gives it away). Terms above the upper
-threshold are removed with the entity, terms between the thresholds are replaced by their kind.
+Base spans are found by fixed patterns. Each distinct value found is a protected entity. A term in a document of an
+entity discloses it as far as knowing the term tells the entity: the pointwise mutual information of term and entity over
+the corpus, as a share of the entity's own information (1: the term alone gives it away), less a penalty for few texts.
+Terms above the upper threshold are removed with the entity, terms between the thresholds are replaced by their kind.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import map_texts, pieces, small_enough
+from broadloom.llm.common import broadcast_if_small, map_texts, pieces, small_enough
 from broadloom.session import materialize
 
 # The patterns of the base spans, in the order in which equal starts are listed.
@@ -30,10 +31,13 @@ LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 CONTEXT = 8
-SUPPORT = 3
+#: Chance by which the share of a term's texts that hold the entity may lie below the share taken: both of n texts give DOUBT ** (1 / n).
+DOUBT = 0.2
 REMOVE = 0.9
 GENERALISE = 0.7
 TERM = re.compile(r"[^\W\d_]{3,}")
+#: Terms that a task counts before it sends them.
+HELD = 200000
 
 
 def luhn(digits: str) -> bool:
@@ -79,109 +83,136 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]], near: int = CONTEXT) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the ``near`` terms on each side of each base span, on its line."""
-    out = []
-    for start, kind, end in spans:
-        entity = f"{KINDS[kind]}:{text[start:end].lower()}"
-        left = max(text.rfind("\n", 0, start) + 1, start - 64 * near)
+def words(text: str, spans: list[tuple[int, int, int]]) -> dict[str, list[tuple[int, int]]]:
+    """Places of the ``CONTEXT`` terms on each side of each base span, on its line."""
+    out = defaultdict(set)
+    for start, _, end in spans:
+        left = max(text.rfind("\n", 0, start) + 1, start - 64 * CONTEXT)
         stop = text.find("\n", end)
-        right = min(len(text) if stop < 0 else stop, end + 64 * near)
-        around = list(TERM.finditer(text, left, start))[-near:] + [m for m, _ in zip(TERM.finditer(text, end, right), range(near))]
-        for m in around:
+        right = min(len(text) if stop < 0 else stop, end + 64 * CONTEXT)
+        for m in list(TERM.finditer(text, left, start))[-CONTEXT:] + [m for m, _ in zip(TERM.finditer(text, end, right), range(CONTEXT))]:
             if not any(s < m.end() and m.start() < e for s, _, e in spans):
-                out.append((entity, m.group().lower(), m.start(), m.end()))
-    return out
+                out[m.group().lower()].add(m.span())
+    return {t: sorted(at) for t, at in out.items()}
 
 
 SPAN = "struct<start:int,`end`:int,kind:string>"
-NEAR = "struct<entity:string,term:string,start:int,`end`:int>"
+WORD = "struct<term:string,at:array<struct<start:int,`end`:int>>>"
 
 
-def find_base(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", near: int = CONTEXT) -> DataFrame:
-    """(_id, _h, spans, near): base spans in code points and the terms around them, one row per row of ``docs``."""
+def find_base(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(_id, _h, _t, spans, entities, words), one row per row of ``docs``: base spans in code points, and where there are any, the
+    distinct entities and the places of all terms. ``_t`` is a hash of the text by which copies are known, null without a text."""
+    place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_text"):
-            spans, around = [], []
+            spans, entities, places = [], [], []
             for text in batch.column("_text").to_pylist():
                 found = base_spans(text) if text else []
                 spans.append([{"start": s, "end": e, "kind": KINDS[k]} for s, k, e in found])
-                around.append([{"entity": a, "term": t, "start": s, "end": e} for a, t, s, e in contexts(text, found, near)] if found else [])
+                entities.append(sorted({f"{KINDS[k]}:{text[s:e].lower()}" for s, k, e in found}))
+                places.append([{"term": t, "at": [{"start": s, "end": e} for s, e in at]} for t, at in words(text, found).items()] if found else [])
             yield pa.RecordBatch.from_arrays([
-                batch.column("_id"), batch.column("_h"),
+                batch.column("_id"), batch.column("_h"), batch.column("_t"),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))),
-                pa.array(around, pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))),
-            ], names=["_id", "_h", "spans", "near"])
+                pa.array(entities, pa.list_(pa.string())),
+                pa.array(places, pa.list_(pa.struct([("term", pa.string()), ("at", pa.list_(place))]))),
+            ], names=["_id", "_h", "_t", "spans", "entities", "words"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    source = docs.select(F.col(id_column).alias("_id"), F.hash(text_column).alias("_h"), F.col(text_column).alias("_text"))
-    return map_texts(source, run, f"_id {kind}, _h int, spans array<{SPAN}>, near array<{NEAR}>")
-
-
-def term_documents(docs: DataFrame, terms: DataFrame, text_column: str = "text") -> DataFrame:
-    """(term, held): in how many documents of the whole corpus each candidate term stands. Tasks count before they
-    send: a row a term and task."""
-    if small_enough(terms, 64):
-        wanted = frozenset(r.term for r in terms.toLocalIterator())
-        if not wanted:
-            return terms.select("term", F.lit(0).cast("bigint").alias("held"))
-
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: Counter = Counter()
-            for batch in pieces(batches, "_text"):
-                for text in batch.column("_text").to_pylist():
-                    held.update(wanted.intersection(TERM.findall(text.lower())))
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["term", "n"])
-
-        source = docs.where(F.col(text_column).isNotNull()).select(F.col(text_column).alias("_text"))
-        counted = map_texts(source, run, "term string, n bigint")
-    else:  # any number of terms: words counted in full, then a shuffle join
-        words = F.array_distinct(F.regexp_extract_all(F.lower(text_column), F.lit(r"(?U)[\p{L}]{3,}"), F.lit(0)))
-        counted = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
-    return counted.groupBy("term").agg(F.sum("n").alias("held"))
-
-
-def disclosures(found: DataFrame, docs: DataFrame, text_column: str = "text", support: int = SUPPORT) -> DataFrame:
-    """(entity, term, disclosure): for pairs that stand together in at least ``support`` distinct texts.
-
-    Frequencies are those of documents. Copies of a text count once for the support, so that a passage spread by copying
-    discloses no more than one document would.
+    mark = F.when(F.col(text_column).isNotNull(), F.xxhash64(text_column))
+    source = docs.select(F.col(id_column).alias("_id"), F.hash(text_column).alias("_h"), mark.alias("_t"), F.col(text_column).alias("_text"))
+    return map_texts(source, run, f"_id {kind}, _h int, _t bigint, spans array<{SPAN}>, entities array<string>, words array<{WORD}>")
+
+
+def term_documents(docs: DataFrame, repeated: DataFrame, text_column: str = "text") -> DataFrame:
+    """(term, held): in how many distinct texts of the whole corpus each term stands. ``repeated``: (_t, copies) of the texts that
+    have copies, each of which counts by its share. Tasks count before they send: a row a term and task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.float64())], names=["term", "n"])
+
+        held: defaultdict = defaultdict(float)
+        for batch in pieces(batches, "_text"):
+            for text, copies in zip(batch.column("_text").to_pylist(), batch.column("copies").to_pylist(), strict=True):
+                share = 1.0 / (copies or 1)
+                for term in {t.lower() for t in set(TERM.findall(text))}:
+                    held[term] += share
+                if len(held) > HELD:
+                    yield sent()
+                    held.clear()
+        yield sent()
+
+    source = docs.where(F.col(text_column).isNotNull()).select(F.col(text_column).alias("_text"), F.xxhash64(text_column).alias("_t"))
+    shared = source.join(broadcast_if_small(repeated, 24), "_t", "left").select("_text", "copies")
+    return map_texts(shared, run, "term string, n double").groupBy("term").agg(F.round(F.sum("n")).cast("bigint").alias("held"))
+
+
+def disclosing(found: DataFrame, docs: DataFrame, text_column: str = "text", generalise: float = GENERALISE, remove: float = REMOVE,
+               doubt: float = DOUBT) -> DataFrame:
+    """(_t, extra): places and kinds (``term`` to remove, ``near`` to generalise) of the terms that disclose an entity of the text,
+    per distinct text of ``found`` that has any. A term and an entity meet if one text holds both, at any distance.
+
+    All counts are of distinct texts over the whole corpus, so that a passage spread by copying discloses no more than one
+    text would. The share of the term's texts that hold the entity is taken low by the factor ``doubt`` ** (1 / texts):
+    where all of them do, that is its exact lower confidence limit. So pairs of any count are scored.
+
+    Entities of the same texts have the same scores and are scored as one group. Terms that stand in too many texts to
+    reach ``generalise`` with any entity of a text, even if they meet it in all its texts, are left out before pairs are made.
     """
-    pair = F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.entity.alias("entity"), x.term.alias("term")))))
-    near = found.where(F.size("near") > 0)
-    texts = near.select("_h", pair.alias("x")).groupBy("x.entity", "x.term", "_h").agg(F.count("*").alias("n"))
-    pairs = texts.groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("both")).where(F.col("texts") >= support)
-    pairs = materialize(pairs, "pairs")
-    own = F.explode(F.array_distinct(F.transform("near", lambda x: x.entity)))
-    entities = near.select(own.alias("entity")).groupBy("entity").agg(F.count("*").alias("own"))
-    held = term_documents(docs, pairs.select("term").distinct(), text_column)
-    joined = pairs.join(entities, "entity").join(held, "term")
-    whole = F.lit(float(found.count() + 1))
-    shared = F.least("both", "held").cast("double")
-    information = F.log(whole / F.col("own"))
-    return joined.select("entity", "term", F.least(F.lit(1.0), F.log(whole * shared / (F.col("own") * F.col("held"))) / information).alias("disclosure"))
-
-
-def sensitive_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", support: int = SUPPORT,
-                    generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(_id, _h, base, spans) per row of ``docs``: base spans, and all spans with the terms that disclose their entities
-    (kinds ``term`` to remove, ``near`` to generalise). Ordered by start, then kind. Null and empty texts have none.
+    copies = found.where("_t is not null").groupBy("_t").agg(F.count("*").alias("copies"))
+    whole = float(copies.count() + 1)
+    repeated = materialize(copies.where("copies > 1"), "repeated")
+    told = found.where(F.size("entities") > 0).select("_t", "entities", "words").join(broadcast_if_small(repeated, 24), "_t", "left")
+    again = told.where("copies is not null").drop("copies").dropDuplicates(["_t"])  # only texts with copies are shuffled
+    once = materialize(told.where("copies is null").drop("copies").unionByName(again), "once")
+    each = once.select("_t", F.explode("entities").alias("entity"))
+    groups = each.groupBy("entity").agg(F.count("*").alias("own"), F.bit_xor("_t").alias("x"), F.sum(F.hash("_t").cast("bigint")).alias("s"))
+    groups = materialize(each.join(groups, "entity").select("_t", F.struct("own", "x", "s").alias("group")).distinct(), "groups")
+    of_text = groups.groupBy("_t").agg(F.collect_list("group").alias("groups"), F.max("group.own").cast("double").alias("most"))
+    held = materialize(term_documents(docs, repeated, text_column), "held")
+
+    def low(both: F.Column) -> F.Column:
+        return F.log(both) + F.lit(math.log(doubt)) / both
+
+    def can(most: F.Column) -> F.Column:
+        return F.log(F.col("held").cast("double")) <= low(most) + F.lit(1.0 - generalise) * F.log(F.lit(whole) / most) + 1e-6
+
+    terms = once.join(of_text.select("_t", "most"), "_t").select("_t", "most", F.explode("words").alias("w")).select("_t", "most", "w.term", "w.at")
+    top = F.lit(of_text.agg(F.max("most")).first()[0]).cast("double")
+    common = held.where(~can(top)).select("term")
+    if small_enough(common, 64):  # most words of a text: they need no shuffle
+        terms = terms.join(F.broadcast(common), "term", "left_anti")
+    rare = materialize(terms.join(held, "term").where(can(F.col("most"))).join(of_text.drop("most"), "_t").select("_t", "groups", "term", "at", "held"), "rare")
+    pairs = rare.select("term", "held", F.explode("groups").alias("group")).groupBy("group", "term").agg(
+        F.count("*").cast("double").alias("both"), F.max("held").cast("double").alias("held"))
+    information = F.log(F.lit(whole) / F.col("group.own"))
+    score = (information + low(F.col("both")) - F.log("held")) / information
+    told = pairs.select("group", "term", score.alias("disclosure")).where(F.col("disclosure") >= generalise)
+    told = told.select("group", "term", F.when(F.col("disclosure") >= remove, "term").otherwise("near").alias("kind"))
+    marked = rare.select("_t", "term", "at", F.explode("groups").alias("group")).join(told, ["group", "term"])
+    spans = marked.groupBy("_t", "term").agg(F.max("kind").alias("kind"), F.first("at").alias("at")).select("_t", "kind", F.explode("at").alias("p"))
+    return spans.groupBy("_t").agg(F.collect_list(F.struct(F.col("p.start").alias("start"), F.col("p.end").alias("end"), "kind")).alias("extra"))
+
+
+def sensitive_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    generalise: float = GENERALISE, remove: float = REMOVE, doubt: float = DOUBT) -> DataFrame:
+    """(_id, _h, base, spans) per row of ``docs``: base spans, and all spans with every place of the terms that disclose their
+    entities (kinds ``term`` to remove, ``near`` to generalise). Ordered by start, then kind. Null and empty texts have none.
     Repeated rows each get their spans.
     """
     found = materialize(find_base(docs, id_column, text_column), "base")
-    told = disclosures(found, docs, text_column, support).where(F.col("disclosure") >= generalise)
-    told = materialize(told.select("entity", "term", F.when(F.col("disclosure") >= remove, "term").otherwise("near").alias("kind")), "told")
-    around = found.where(F.size("near") > 0).select("_id", "_h", F.explode("near").alias("x")).select("_id", "_h", "x.*").distinct()
-    spans = around.join(told, ["entity", "term"]).groupBy("_id", "_h", "start", "end").agg(F.max("kind").alias("kind"))
-    extra = spans.groupBy(F.col("_id").alias("_i"), F.col("_h").alias("_g")).agg(F.collect_list(F.struct("start", "end", "kind")).alias("extra"))
+    extra = materialize(disclosing(found, docs, text_column, generalise, remove, doubt), "told")
     rank = {k: i for i, k in enumerate((*KINDS, "near", "term"))}
     order = F.create_map(*[F.lit(x) for k, i in rank.items() for x in (k, i)])
-    joined = found.drop("near").join(extra, F.expr("_id <=> _i and _h = _g"), "left")
+    joined = found.where(F.size("spans") > 0).select("_id", "_h", "_t", "spans").join(extra, "_t", "left")
     every = F.concat("spans", F.coalesce("extra", F.array().cast(f"array<{SPAN}>")))
     keyed = F.array_sort(F.transform(every, lambda s: F.struct(s.start.alias("start"), order[s.kind].alias("rank"), s["end"].alias("end"), s.kind.alias("kind"))))
-    return joined.select("_id", "_h", F.col("spans").alias("base"),
+    some = joined.select("_id", "_h", F.col("spans").alias("base"),
                          F.transform(keyed, lambda s: F.struct(s.start.alias("start"), s["end"].alias("end"), s.kind.alias("kind"))).alias("spans"))
+    return some.unionByName(found.where(F.size("spans") == 0).select("_id", "_h", F.col("spans").alias("base"), "spans"))
 
 
 def listed(spans: str):

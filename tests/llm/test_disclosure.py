@@ -80,3 +80,20 @@ def test_copies_do_not_disclose(spark):
     docs = spark.createDataFrame([(i, "Orlando mails a@b.cd today") for i in range(50)] + [(99, "other words")], "doc_id bigint, text string")
     kinds = {s.kind for r in disclosure.sensitive_spans(docs).collect() for s in r.spans}
     assert kinds == {"email"}
+
+
+def rare_docs(spark, rows):
+    filler = ["alpha beta gamma delta", "beta delta epsilon", "gamma gamma zeta", "delta alpha eta"]
+    return spark.createDataFrame([*rows, *[(1000 + i, f"{filler[i % 4]} number {i}") for i in range(2000)]], "doc_id bigint, text string")
+
+
+def marked(docs):
+    return {(r._id, s.kind, s.start) for r in disclosure.sensitive_spans(docs).collect() for s in r.spans}
+
+
+def test_entities_that_occur_once_or_twice(spark):
+    """Copies count once, common words and words that also stand in many other texts tell nothing."""
+    other = [(20 + i, f"Quark alone {i}") for i in range(40)]
+    rows = [(1, "alpha Zorblatt ann@x.org beta Quark"), (2, "beta Wexley bob@x.org gamma"), (3, "delta Wexley bob@x.org"), (4, "delta Wexley bob@x.org")]
+    got = marked(rare_docs(spark, rows + other))
+    assert got == {(1, "near", 6), (1, "email", 15), (2, "near", 5), (2, "email", 12), (3, "near", 6), (3, "email", 13), (4, "near", 6), (4, "email", 13)}
