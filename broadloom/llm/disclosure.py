@@ -30,7 +30,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
-CONTEXT = 8
 #: Chance by which the share of a term's texts that hold the entity may lie below the share taken: both of n texts give DOUBT ** (1 / n).
 DOUBT = 0.2
 REMOVE = 0.9
@@ -84,16 +83,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def words(text: str, spans: list[tuple[int, int, int]]) -> dict[str, list[tuple[int, int]]]:
-    """Places of the ``CONTEXT`` terms on each side of each base span, on its line."""
-    out = defaultdict(set)
-    for start, _, end in spans:
-        left = max(text.rfind("\n", 0, start) + 1, start - 64 * CONTEXT)
-        stop = text.find("\n", end)
-        right = min(len(text) if stop < 0 else stop, end + 64 * CONTEXT)
-        for m in list(TERM.finditer(text, left, start))[-CONTEXT:] + [m for m, _ in zip(TERM.finditer(text, end, right), range(CONTEXT))]:
-            if not any(s < m.end() and m.start() < e for s, _, e in spans):
-                out[m.group().lower()].add(m.span())
-    return {t: sorted(at) for t, at in out.items()}
+    """Places of each term of the whole text, but for those that overlap a base span."""
+    out, at, last = defaultdict(list), 0, 0
+    for m in TERM.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():  # spans by start: the furthest end of those that start before the term's end
+            last, at = max(last, spans[at][2]), at + 1
+        if last <= m.start():
+            out[m.group().lower()].append(m.span())
+    return out
 
 
 SPAN = "struct<start:int,`end`:int,kind:string>"

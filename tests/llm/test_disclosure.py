@@ -1,6 +1,7 @@
 """Personal data spans against plain patterns; disclosing terms; masking."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -97,3 +98,37 @@ def test_entities_that_occur_once_or_twice(spark):
     rows = [(1, "alpha Zorblatt ann@x.org beta Quark"), (2, "beta Wexley bob@x.org gamma"), (3, "delta Wexley bob@x.org"), (4, "delta Wexley bob@x.org")]
     got = marked(rare_docs(spark, rows + other))
     assert got == {(1, "near", 6), (1, "email", 15), (2, "near", 5), (2, "email", 12), (3, "near", 6), (3, "email", 13), (4, "near", 6), (4, "email", 13)}
+
+
+def test_terms_of_the_whole_text(spark):
+    """On other lines, at any distance, at every place; a word is never cut, and is left where the entity is not."""
+    text = "alpha beta\nZorblatt\n" + "gamma delta " * 400 + "b@x.org beta " + "x" * 600 + "\nzorblatt"
+    got = marked(rare_docs(spark, [(1, text), (2, "alpha\nZorblatt"), (3, "delta Zorblatt b@x.org")]))
+    assert {(i, s) for i, k, s in got if k == "near"} == {(3, 6), (1, 11), (1, text.index("xxx")), (1, len(text) - 8)}
+
+
+def test_terms_against_plain_counts(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        names = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in rng.choices(range(500), weights=[1 / (k + 1) for k in range(500)], k=12)]
+        rows.append((i, " ".join(names + [f"u{rng.randint(0, 30)}@x.org" for _ in range(rng.choice((0, 0, 0, 1, 2)))])))
+    rows += rows[:20]
+    held, own, both, texts = {}, {}, {}, {t for _, t in rows}
+    for t in texts:
+        terms, people = {w for w in t.split() if "@" not in w}, {w for w in t.split() if "@" in w}
+        for w in terms:
+            held[w] = held.get(w, 0) + 1
+        for p in people:
+            own[p] = own.get(p, 0) + 1
+            for w in terms:
+                both[p, w] = both.get((p, w), 0) + 1
+    score = {(p, w): 1 + (math.log(n / held[w]) + math.log(disclosure.DOUBT) / n) / math.log((len(texts) + 1) / own[p]) for (p, w), n in both.items()}
+    want = set()
+    for i, t in rows:
+        for m in re.finditer(r"word\w+", t):
+            top = max([score[p, m.group()] for p in t.split() if "@" in p], default=0)
+            if top >= disclosure.GENERALISE:
+                want.add((i, "term" if top >= disclosure.REMOVE else "near", m.start()))
+    got = {x for x in marked(spark.createDataFrame(rows, "doc_id bigint, text string")) if x[1] != "email"}
+    assert want and got == want
