@@ -102,11 +102,13 @@ def chunked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
 
 def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reach: int = REACH, least: int = PASSAGE) -> DataFrame:
-    """(_id, start, stop, n_chunks, first_id, kept) per passage: a run of chunks in a row that each occur in another
+    """(_id, start, stop, n_chunks, first_id, kept, ranges) per passage: a run of chunks in a row that each occur in another
     document too, at least ``least`` bytes long. Offsets are in bytes of the UTF-8 text.
 
-    ``first_id``: the smallest id with the passage's first chunk. ``kept``: this document is the first to hold each of its chunks;
-    dropping all other passages leaves every text once. Digests have 64 bits: a passage holds several chunks, so that one chance
+    ``ranges``: (start, stop, n_chunks, first_id, kept) of the passage's parts, cut where the first document changes. ``first_id``: the
+    smallest id with each chunk of the part; ``kept``: that is this document. Dropping all parts that are not kept leaves every
+    chunk once. Of a whole passage ``first_id`` is that of its first part and ``kept`` tells that all are kept; a passage that is
+    not kept may hold text that stands first here, so passages are not dropped as a whole. Digests have 64 bits: a passage holds several chunks, so that one chance
     agreement makes none. Rows of one id are one document, those without an id are told apart by their text. Null and
     empty texts have no passage.
 
@@ -120,8 +122,13 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
                                                F.expr("at & 511").alias("n"), "first", (F.col("first") == owner).alias("own"))
     line = Window.partitionBy("_id", "mark").orderBy("start")
     fresh = F.coalesce(F.lag(F.col("start") + F.col("n")).over(line) < F.col("start"), F.lit(True))
-    runs = found.distinct().withColumn("run", F.sum(fresh.cast("int")).over(line))
-    spans = runs.groupBy("_id", "mark", "run").agg(
+    turn = fresh | (F.lag("first").over(line) != F.col("first"))
+    runs = found.distinct().withColumns({"run": F.sum(fresh.cast("int")).over(line), "part": F.sum(turn.cast("int")).over(line)})
+    spans = runs.groupBy("_id", "mark", "run", "part").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("stop"), F.count("*").alias("n_chunks"),
-        F.min_by("first", "start").alias("first_id"), F.min("own").alias("kept"))
-    return spans.where(F.col("stop") - F.col("start") >= least).select("_id", "start", "stop", "n_chunks", "first_id", "kept")
+        F.first("first").alias("first_id"), F.first("own").alias("kept"))
+    parts = F.array_sort(F.collect_list(F.struct("start", "stop", "n_chunks", "first_id", "kept")))
+    whole = spans.groupBy("_id", "mark", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n_chunks").alias("n_chunks"),
+        F.min_by("first_id", "start").alias("first_id"), F.min("kept").alias("kept"), parts.alias("ranges"))
+    return whole.where(F.col("stop") - F.col("start") >= least).select("_id", "start", "stop", "n_chunks", "first_id", "kept", "ranges")

@@ -77,3 +77,36 @@ def test_query_shares_text(spark):
         assert 100 <= r.stop - r.start and r.stop <= len(texts[r.doc_id])
         if not r.kept and r.n_chunks == 1:
             assert texts[r.doc_id][r.start:r.stop] in texts[r.first_id]
+
+
+def test_kept_bytes_hold_every_chunk(spark):
+    """Copies that hold a passage of an earlier text: the rest of the copied text stays once."""
+    rng = random.Random(3)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(n))
+
+    passages = [prose(40) for _ in range(4)]
+    rows = []
+    for i in range(12):
+        body = f"{prose(60)} {passages[i % 4]} {prose(30)} {passages[(i + 1) % 4]} {prose(50)}"
+        rows += [(2 * i, body), (2 * i + 100, body)]
+    docs = spark.createDataFrame([(1, f"{prose(9)} {passages[0]} {prose(9)}"), *rows], "doc_id bigint, text string")
+    found = chunks.repeated_passages(docs).collect()
+    out = {}
+    for r in found:
+        assert (r.start, r.stop, r.n_chunks) == (r.ranges[0].start, r.ranges[-1].stop, sum(p.n_chunks for p in r.ranges))
+        for p in r.ranges:
+            assert p.kept == (p.first_id == r._id)
+            if not p.kept:
+                out.setdefault(r._id, []).append((p.start, p.stop))
+    every, left = set(), []
+    for r in docs.collect():
+        text = r.text.encode()
+        stops = chunks.boundaries(text).tolist()
+        for a, b in zip([0, *stops[:-1]], stops, strict=True):
+            every.add(text[a:b])
+            if not any(s <= a and b <= e for s, e in out.get(r.doc_id, [])):
+                left.append(text[a:b])
+    assert out and set(left) == every
+    assert sum(map(len, left)) < 1.02 * sum(map(len, every))
