@@ -60,16 +60,18 @@ RULES = (
 )
 GAP = 2
 
-HINT = re.compile(r"licen[cs]e|permission|copyright|redistribut|public domain|all rights|as is|neither the name|notice shall|in compliance|\(c\)", re.I)
+#: Every sentence above holds one of these, each within a word, so that no line end or comment mark parts it.
+HINT = re.compile(r"licen[cs]e|permission|copyright|redistribut|domain|rights|provided|neither|\(c\)|creative|\bcc", re.I)
 SENTENCE = re.compile(r"[^\n.!?;]*(?:[.](?=\w)[^\n.!?;]*)*[.!?;\n]*", re.S)
 WORD = re.compile(r"\w")
 COMPILED = [(name, re.compile(pattern)) for name, pattern in SENTENCES.items()]
-DROP = re.compile(r"[\"'`*#/<>|“”‘’]+(?=\s|$)|(?:(?<=\s)|^)[\"'`*#/<>|“”‘’]+")
+MARKS = "'`*#/<>|“”‘’"
 
 
 def normalise(sentence: str) -> str:
     """Lower case, quotes and comment marks gone, one space between words, no closing punctuation."""
-    return " ".join(DROP.sub(" ", sentence.lower().replace('"', " ")).split()).strip(" .!?;:,-")
+    plain = (word.strip(MARKS) for word in sentence.lower().replace('"', " ").split())
+    return " ".join(word for word in plain if word).strip(" .!?;:,-")
 
 
 def sentence_ids(text: str) -> list[tuple[str, int, int]]:
@@ -84,10 +86,10 @@ def sentence_ids(text: str) -> list[tuple[str, int, int]]:
             continue
         best = None
         for j in range(i, min(i + 5, len(spans))):
-            if j > i and not text[:spans[j - 1][1]].endswith("\n") and j - i > 1:
+            if j - i > 1 and not text.endswith("\n", 0, spans[j - 1][1]):
                 break
             whole = text[start:spans[j][1]]
-            if len(whole) > 2000 or not HINT.search(whole):
+            if not HINT.search(whole):
                 continue
             plain = normalise(whole)
             known = next((name for name, pattern in COMPILED if pattern.fullmatch(plain)), None)

@@ -1,5 +1,6 @@
 """Licence statements against plain patterns on the given lines, full licence texts, odd rows."""
 
+import random
 import re
 
 from broadloom.llm import licences
@@ -56,3 +57,25 @@ def test_odd_rows(spark):
     got = sorted((str(r._id), r.licence, r.start) for r in licences.scan(docs).collect())
     assert got == [("3", "MIT", 0), ("3", "MIT", 0), ("None", "MIT", 500002)]
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+def test_long_sentences():
+    long = "word " * 2000
+    assert named(long + "SPDX-License-Identifier: MIT " + long) == ["SPDX"]
+    assert named(f"Intro. {long} under the GNU Lesser General Public License {long}") == ["LGPL"]
+    assert named("the licence " + "/" * 1000000 + "x " + long + "is in the public domain " + long) == ["public-domain"]
+
+
+def test_no_known_sentence_lacks_a_hint():
+    for line, licence in {"Available under CC BY-SA 4.0.": "CC", "Released under Creative Commons Attribution 4.0.": "CC", "Distributed under CC0.": "CC",
+                          "This work is in the public\n  domain.": "public-domain", "All  rights\nreserved.": "proprietary"}.items():
+        assert named(line) == [licence]
+    assert [i[0] for i in licences.sentence_ids("The software is provided as\n * is.")] == ["as-is"]
+
+
+def test_normalise_as_before():
+    drop = re.compile(r"[\"'`*#/<>|“”‘’]+(?=\s|$)|(?:(?<=\s)|^)[\"'`*#/<>|“”‘’]+")
+    rng = random.Random(6)
+    for _ in range(5000):
+        text = "".join(rng.choices("aB.'\"*/# \n“,-", k=rng.randint(0, 25)))
+        assert licences.normalise(text) == " ".join(drop.sub(" ", text.lower().replace('"', " ")).split()).strip(" .!?;:,-")
