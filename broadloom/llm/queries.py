@@ -24,7 +24,8 @@ def sha256_of(column) -> F.Column:
 
 # The rules of the query, and the words by which hosts of unwanted sites are labelled for training.
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
-UNWANTED = "adult bet bets betting bingo casino escort gambling jackpot lottery pills poker porn sex slots spam viagra warez xxx".split()
+UNWANTED = ("ad ads adserver adult advert adverts advertising adware banners bet bets betting bingo casino clickbait escort gambling jackpot lottery malware "
+            "phish phishing pills poker popunder popups porn scam sex slots spam spyware telemetry track tracker trackers tracking trojan viagra warez xxx").split()
 
 
 @query
