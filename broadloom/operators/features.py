@@ -87,13 +87,48 @@ def bounded(table: DataFrame, limit: int = BROADCAST_ROWS, vector: str | None =
     return found.n <= limit and found.size <= most
 
 
+def frequent_hashes(rows: DataFrame, keys: Sequence[str], share: int = 1000) -> list[int]:
+    """Hashes of the keys that hold more than 1 / ``share`` of the rows, at most ``share`` of them, from one mergeable
+    heavy-hitter sketch (16 * share counters, whatever the number of keys)."""
+    sketch = F.expr(f"approx_top_k(_k, {int(share)}, {16 * int(share)})")
+    found = rows.select(F.xxhash64(*keys).alias("_k")).agg(F.count("*").alias("n"), sketch.alias("top")).first()
+    return [t["item"] for t in found.top or [] if t["count"] * share > found.n]
+
+
+def split_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", share: int = 1000,
+               null_safe: bool = False, small: bool | None = None) -> DataFrame:
+    """Join with a table of at most one row a key, whatever its size and however rows crowd on single keys.
+
+    A table of checked size (``small``: the caller has checked) is broadcast. Else the keys that hold more than 1 / ``share`` of
+    the rows are found by a sketch: their table rows (at most ``share``) are broadcast, so that rows of a hot key stay where
+    they are, and only the others are shuffled. What the sketch takes for frequent decides the path, never the result.
+    ``rows`` is read twice: pass a stored table. ``null_safe`` lets null keys meet. Columns: those of ``rows``, then
+    those of ``table`` but the keys.
+    """
+    names = [*rows.columns, *(c for c in table.columns if c not in keys)]
+
+    def join(a: DataFrame, b: DataFrame) -> DataFrame:
+        if not null_safe:
+            return a.join(b, list(keys), how).select(names)
+        b = b.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        same = [a[k].eqNullSafe(b[f"_key_{k}"]) for k in keys]
+        return a.join(b, same, how).select(names)
+
+    if bounded(table) if small is None else small:
+        return join(rows, F.broadcast(table))
+    hot = frequent_hashes(rows, keys, share)
+    if not hot:
+        return join(rows, table)
+    often = F.xxhash64(*keys).isin(hot)
+    return join(rows.where(often), F.broadcast(table.where(often))).unionByName(join(rows.where(~often), table.where(~often)))
+
+
 def lookup(df: DataFrame, id_column: str, table: DataFrame, out: str, small: bool | None = None) -> DataFrame:
     """Embedding lookup: ``table`` has ``id`` and ``vector``; an id outside it gives null.
 
-    A table of checked rows and bytes is broadcast, so a hot id costs nothing. A larger one is left to Spark's
-    shuffle join, whose skew handling splits hot ids.
+    A table of checked rows and bytes is broadcast, so a hot id costs nothing. Of a larger one only the vectors of frequent
+    ids are broadcast (``split_join``), so that no task holds all rows of a hot id.
     """
     small = bounded(table, vector="vector") if small is None else small
     keyed = table.select(F.col("id").cast("int").alias("_id"), F.col("vector").alias(out))
-    keyed = F.broadcast(keyed) if small else keyed
-    return df.join(keyed, F.col(id_column).cast("int") == F.col("_id"), "left").drop("_id")
+    return split_join(df.withColumn("_id", F.col(id_column).cast("int")), keyed, ["_id"], small=small).drop("_id")

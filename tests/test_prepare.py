@@ -194,3 +194,25 @@ def test_null_keys_are_kept(spark):
     plan = prepare.batch_plan(df, "k", 100, buckets=8).collect()
     assert sorted(r.row_index for r in plan) == list(range(1000))
     assert {r.row_index for r in plan if r.k is None} == set(range(900, 1000))
+
+
+def test_split_join_spreads_a_key_that_holds_half_of_the_rows(spark):
+    table = spark.range(30000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    rows = spark.range(0, 40000, 1, 8).select("id", F.when(F.col("id") % 2 == 0, 77).otherwise(F.col("id") % 50000).alias("k"))
+    assert features.frequent_hashes(rows, ["k"]) == [rows.where("k = 77").select(F.xxhash64("k")).first()[0]]
+    found = features.split_join(rows, table, ["k"])
+    assert found.columns == ["id", "k", "v"]
+    assert found.count() == 40000 and found.where("k < 30000 AND v <> 3 * k OR k >= 30000 AND v IS NOT NULL").isEmpty()
+    loads = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().where("count > 0").collect()]
+    assert max(loads) <= 2 * sorted(loads)[len(loads) // 2]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_split_join_of_null_keys(spark, small):
+    rows = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "b")], "i int, k string")
+    table = spark.createDataFrame([(None, 10), ("a", 20)], "k string, v int")
+    safe = features.split_join(rows, table, ["k"], null_safe=True, small=small)
+    assert sorted((r.i, r.v) for r in safe.collect()) == [(1, 10), (2, 20), (3, 10), (4, None)]
+    plain = features.split_join(rows, table, ["k"], small=small)
+    assert sorted((r.i, r.v) for r in plain.where("v IS NOT NULL").collect()) == [(2, 20)]
+    assert features.split_join(rows.limit(0), table, ["k"], "inner", small=small).count() == 0
