@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm import chunks, codes, contamination, content, disclosure, language, licences, packing, phrases, simhash, urls
+from broadloom.llm import chunks, codes, contamination, content, disclosure, language, licences, packing, phrases, prefixes, simhash, urls
 from broadloom.session import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,8 @@ def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     coded, books = codes.lloyd_codes(load_table(spark, sf, "embeddings"), carry=["label"])
     return codes.label_errors(coded).select("vec_id", codes.code_text("entries").alias("code"), "error", "label_error",
                                             F.lit(codes.codebooks_digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.prefix_trie(load_table(spark, sf, "conversations"))
