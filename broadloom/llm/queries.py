@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm import chunks, codes, contamination, content, disclosure, language, licences, packing, phrases, prefixes, simhash, urls
+from broadloom.llm import chunks, codes, contamination, content, disclosure, language, licences, neighbours, packing, phrases, prefixes, simhash, urls
 from broadloom.session import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefixes.prefix_trie(load_table(spark, sf, "conversations"))
+
+
+@query
+def op13_vantage_trees(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest_rows(load_table(spark, sf, "embeddings"))
