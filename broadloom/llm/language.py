@@ -76,9 +76,9 @@ def fit_languages(docs: DataFrame, text_column: str = "text", lang_column: str =
 
     rows = docs.select(F.col(text_column).alias("_text"), F.col(lang_column).alias("_lang")).dropna()
     counts = map_texts(rows, count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counts.limit(BUCKETS * MAX_LANGUAGES).toArrow()
+    found = counts.limit(BUCKETS * MAX_LANGUAGES + 1).toArrow()
     langs = sorted(set(found.column("lang").to_pylist()))
-    if len(langs) >= MAX_LANGUAGES:
+    if len(langs) > MAX_LANGUAGES or found.num_rows > BUCKETS * MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     place = {lang: i for i, lang in enumerate(langs)}
     table = np.zeros((BUCKETS, len(langs)))

@@ -98,23 +98,23 @@ def with_rates(rows: DataFrame, rates: DataFrame, own: Column | None = None) ->
 def fit_url_trees(labelled: DataFrame, sample: int = SAMPLE, trees: int = 20, depth: int = 4, seed: int = 7) -> tuple[GBTClassificationModel | None, DataFrame]:
     """Model and suffix rates from rows of ``lexical`` with a label ``_bad`` (0 or 1; null rows are left out).
 
-    The trees see at most about ``sample`` rows, chosen by a hash of the URL; the rates cover all rows, and a training row's own
-    label is not in its rates. With one class only there is no model.
+    The trees see at most about half of ``sample`` rows of each class, drawn row by row and weighted back to the size of their
+    class, so that neither a rare class nor a URL of very many rows is lost; the rates cover all rows, and a training row's
+    own label is not in its rates. With one class only there is no model.
     """
     known = labelled.where("_bad is not null")
     rates = materialize(suffix_rates(known), "suffixes")
-    counts = known.agg(F.count("*").alias("n"), F.sum("_bad").alias("bad")).first()
-    if not counts.n or counts.bad in (0, counts.n):
+    sizes = {r["_bad"]: r["count"] for r in known.groupBy("_bad").count().collect()}
+    if len(sizes) < 2:
         return None, rates
-    share = min(1.0, sample / counts.n)
-    picked = known.where(F.pmod(F.xxhash64("_host", "_path"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    share = {c: min(1.0, sample / 2 / n) for c, n in sizes.items()}
+    of_row = F.when(F.col("_bad") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
+    picked = known.where(F.rand(seed) < of_row)
     rows = with_rates(picked, rates, F.col("_bad"))
-    rows = VectorAssembler(inputCols=NUMERIC + SUFFIX, outputCol="features").transform(rows).select("features", F.col("_bad").cast("double").alias("label"))
+    rows = VectorAssembler(inputCols=NUMERIC + SUFFIX, outputCol="features").transform(rows).select(
+        "features", F.col("_bad").cast("double").alias("label"), (1.0 / of_row).alias("weight"))
     rows = materialize(rows, "labelled").coalesce(8)
-    classes = rows.groupBy("label").count().collect()
-    if len(classes) < 2:
-        return None, rates
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32).fit(rows)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32, weightCol="weight").fit(rows)
     return model, rates
 
 

@@ -59,3 +59,11 @@ def test_odd_rows_through_every_stage(spark, empty):
         assert masked.text == "mail [EMAIL] or [PHONE]" and masked.n_chars == len(masked.text)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {str(r.doc_id) for r in packed} == {str(r.doc_id) for r in rows}
+
+
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    rows = [(1, "good text", None, 0.5), (2, None, None, 0.5), (3, "12 !?", None, 0.5), (4, "é", None, 0.5), (5, "", "en", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, _lang double")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_languages(spark, docs.where("doc_id < 5"), SF).collect()) == [1, 4]
+    learned = corpus_pipeline.keep_languages(spark, docs.unionByName(spark.createDataFrame([(6, "more text", "en", 0.25)], docs.schema)), SF)
+    assert sorted((r.doc_id, r._lang) for r in learned.collect()) == [(1, 0.5), (4, 0.5), (6, 0.25)]

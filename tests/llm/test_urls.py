@@ -86,6 +86,18 @@ def test_odd_rows(spark):
     assert model is None and urls.judge(table.limit(0), model, rates, RULES).count() == 0
 
 
+def test_a_rare_class_is_learned_whatever_the_number_of_other_rows(spark):
+    for good in (3000, 60_000):
+        clean = spark.range(good).select(F.concat(F.lit("https://site"), F.col("id") % 500, F.lit(".org/news/"), "id").alias("url"), F.lit(0).alias("_bad"))
+        bad = spark.range(20).select(F.lit("http://x-9-77-0-1.zz/a?b=1&c=2&d=3&e=4").alias("url"), F.lit(1).alias("_bad"))
+        rows = clean.unionByName(bad)
+        model, rates = urls.fit_url_trees(urls.lexical(rows), trees=5)
+        assert model is not None
+        judged = urls.judge(rows, model, rates)
+        assert judged.where("_bad = 1 AND verdict = 'block'").count() == 20
+        assert judged.where("_bad = 0 AND verdict = 'block'").count() == 0
+
+
 def test_plan_has_no_python(spark):
     plan = QUERIES["op1_url_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
