@@ -15,9 +15,14 @@ from broadloom.session import load_table, materialize
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a recognised language: those without a text or a letter go. The model learns from all labelled rows."""
+    """Documents of a recognised language: those without a text or a letter go. The model learns from all labelled rows;
+    a table without a labelled row teaches no language, then every text with a letter stays."""
     model = language.fit_languages(docs)
-    return language.identify(docs, model, lang_out="_lang", score_out="_score").where(F.col("_lang") != language.UNKNOWN).select(*docs.columns)
+    if not model.languages:
+        return docs.where(F.rlike("text", F.lit(r"\p{L}")))
+    mark = "_" + max(docs.columns, key=len)  # a name that no column has
+    found = language.identify(docs, model, lang_out=mark, score_out=f"{mark}_score")
+    return found.where(F.col(f"`{mark}`") != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
