@@ -29,11 +29,15 @@ from broadloom.operators import network as net
 from broadloom.operators.boosting import floats
 from broadloom.operators.network import DenseSpec
 from broadloom.operators.prepare import batch_plan
+from broadloom.session import latest, publish
 
 CHUNK = 65536
 LOG_SCHEMA = "run string, epoch int, step long, metric string, value double"
 
 
+PARAM_SCHEMA = "part string, layer string, name string, shape array<int>, values array<double>, text string"
+
+
 @dataclass
 class DenseModel:
     spec: DenseSpec
@@ -44,17 +48,45 @@ class DenseModel:
         return spark.createDataFrame(rows, "layer string, name string, shape array<int>, values array<double>")
 
 
+@dataclass
+class TrainState:
+    """A model in training: Adam's moments, epochs done and steps done."""
+
+    model: DenseModel
+    m: dict[str, np.ndarray]
+    v: dict[str, np.ndarray]
+    epoch: int = 0
+    step: int = 0
+
+    @staticmethod
+    def start(model: DenseModel) -> TrainState:
+        return TrainState(model, *({n: np.zeros_like(a) for n, a in model.params.items()} for _ in range(2)))
+
+
+def save_state(spark: SparkSession, state: TrainState, path: str) -> None:
+    """One row a parameter or moment, published as the next version in ``path``: a save that fails leaves the last one."""
+    rows = [("spec", "", "", [state.epoch, state.step], [], state.model.spec.to_json())]
+    for part, values in (("p", state.model.params), ("m", state.m), ("v", state.v)):
+        rows += [(part, *n.split("/"), list(a.shape), a.ravel().tolist(), None) for n, a in sorted(values.items())]
+    publish(spark.createDataFrame(rows, PARAM_SCHEMA), path)
+
+
+def load_state(spark: SparkSession, path: str) -> TrainState:
+    parts: dict[str, dict] = {"p": {}, "m": {}, "v": {}}
+    for r in latest(spark, path).collect():  # one row a parameter
+        if r.part == "spec":
+            spec, (epoch, step) = DenseSpec.from_json(r.text), r["shape"]
+        else:
+            parts[r.part][f"{r.layer}/{r.name}"] = np.array(r["values"]).reshape(r["shape"])
+    return TrainState(DenseModel(spec, parts["p"]), parts["m"], parts["v"], epoch, step)
+
+
 def save_params(spark: SparkSession, model: DenseModel, path: str) -> None:
-    model.param_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
-    spark.createDataFrame([(model.spec.to_json(),)], "spec string").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{path}/spec")
+    save_state(spark, TrainState(model, {}, {}), path)
 
 
 def load_params(spark: SparkSession, path: str) -> DenseModel:
-    spec = DenseSpec.from_json(spark.read.parquet(f"{path}/spec").first().spec)
-    rows = spark.read.parquet(f"{path}/params").collect()  # one row per parameter
-    params = {f"{r.layer}/{r.name}": np.array(r["values"]).reshape(r["shape"]) for r in rows}
-    return DenseModel(spec, params)
+    return load_state(spark, path).model
 
 
 # --- batches ------------------------------------------------------------------------------------
@@ -107,14 +139,16 @@ def _epoch(spec: DenseSpec, shared, size: int, first: int, rate: Callable[[int],
             if not np.isfinite(losses).all():
                 raise ValueError("loss is not finite: null or NaN in the rows, or a rate too high")
             step += 1
+            n = len(next(iter(b.values())))
+            if n < size:  # a partial batch weighs as many rows as it has
+                grads = {k: g * (n / size) for k, g in grads.items()}
             net.adam(p, grads, m, v, step, rate(step))
             p.update(stats)
-            n = len(next(iter(b.values())))
             rows += n
             total += np.array(losses) * n
         if rows == 0:
             return
-        parts = {f"{k}:{n}": a for k, d in (("p", p), ("m", m), ("v", v)) for n, a in d.items()}
+        parts = {f"{k}:{n}": a for k, d in (("p", net.squared_spread(p)), ("m", m), ("v", v)) for n, a in d.items()}
         parts["loss:"] = total / rows
         parts["rows:"] = np.array([float(rows)])
         for n, a in parts.items():
@@ -165,15 +199,15 @@ def fit_dense(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, ep
 
     ``key`` is a unique row id; it fixes the layout. ``batch_size`` is global: each of P partitions steps through
     batch_size // P rows at a time, so an epoch has about rows / batch_size steps. P is ``partitions``, by default the
-    number of partitions of the input, and no more than batch_size. Every row is trained in every epoch: the batch at the
-    end of a partition may be smaller and weighs as many rows as it has. ``drop_last`` trains on whole batches of the
+    number of partitions of the input; with more partitions than rows in a batch, each takes one row a step. Every row is
+    trained in every epoch: the batch at the end of a partition may be smaller and weighs as many rows as it has. ``drop_last`` trains on whole batches of the
     table only: the first rows // batch_size * batch_size rows by key. The log's metric ``rows`` counts trained rows.
     ``init`` continues from a fitted model of the same spec.
     """
     spark = df.sparkSession
     columns = list(dict.fromkeys([*spec.inputs, *(h.label for h in spec.heads)]))
-    parts = max(1, min(partitions or df.rdd.getNumPartitions(), batch_size))
-    local = batch_size // parts
+    parts = max(1, partitions or df.rdd.getNumPartitions())
+    local = max(1, batch_size // parts)
     taken = df.select(F.col(key).alias("_key"), *_columns(df, columns))
     if drop_last:
         taken = batch_plan(taken, "_key", batch_size).drop("row_index", "batch")
@@ -182,7 +216,7 @@ def fit_dense(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, ep
     if not rows:
         laid.unpersist()
         raise ValueError("no rows to train on" + (f": fewer than one batch of {batch_size}" if drop_last else ""))
-    steps = -(-rows // batch_size)
+    steps = -(-rows // max(batch_size, parts))
     if validation is not None:
         validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -195,7 +229,7 @@ def fit_dense(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, ep
             task = _epoch(spec, shared, local, epoch * steps, at, seed)
             found = _average(laid.mapInArrow(task, "name string, chunk int, rows long, values array<double>"))
             shared.unpersist()
-            shaped = {n: found[f"p:{n}"].reshape(a.shape) for n, a in params.items()}
+            shaped = net.spread({n: found[f"p:{n}"].reshape(a.shape) for n, a in params.items()})
             m, v = ({n: found[f"{k}:{n}"].reshape(a.shape) for n, a in zeros.items()} for k in "mv")
             params = shaped
             done = (epoch + 1) * steps

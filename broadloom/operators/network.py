@@ -127,6 +127,16 @@ def trainable(name: str) -> bool:
     return not name.endswith(("/mean", "/variance"))
 
 
+def squared_spread(p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Parameters with every running variance replaced by variance + mean^2, which averages over tasks; ``spread`` undoes it.
+    So the merged variance holds the spread between the tasks' means, as one task over all rows would see it."""
+    return {n: a + p[n[:-8] + "mean"] ** 2 if n.endswith("/variance") else a for n, a in p.items()}
+
+
+def spread(p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return {n: a - p[n[:-8] + "mean"] ** 2 if n.endswith("/variance") else a for n, a in p.items()}
+
+
 def _activate(z: np.ndarray, kind: str) -> np.ndarray:
     if kind == "relu":
         return np.maximum(z, 0.0)
@@ -149,8 +159,9 @@ def _through(d: np.ndarray, a: np.ndarray, kind: str) -> np.ndarray:
     return d
 
 
-def forward(spec: DenseSpec, p: dict, x: dict, rng=None, until: str | None = None) -> tuple[dict, dict]:
-    """Values of every layer, and what ``backward`` needs. Training mode if ``rng`` is given."""
+def forward(spec: DenseSpec, p: dict, x: dict, rng=None, until: str | None = None, across=None) -> tuple[dict, dict]:
+    """Values of every layer, and what ``backward`` needs. Training mode if ``rng`` is given. With ``across`` the rows are one
+    task's part of a batch: ``across.moments`` gives mean and variance over the whole batch."""
     a, memo = dict(x), {}
     for y in spec.layers:
         v = a[y.inputs[0]] if len(y.inputs) == 1 else np.concatenate([a[i] for i in y.inputs], axis=1)
@@ -164,7 +175,7 @@ def forward(spec: DenseSpec, p: dict, x: dict, rng=None, until: str | None = Non
         elif y.kind == "norm":
             mean, var = p[f"{y.name}/mean"], p[f"{y.name}/variance"]
             if rng is not None:
-                mean, var = v.mean(axis=0), v.var(axis=0)
+                mean, var = (v.mean(axis=0), v.var(axis=0)) if across is None else across.moments(v)
             unit = (v - mean) / np.sqrt(var + EPS)
             memo[y.name] = (unit, mean, var)
             v = unit * p[f"{y.name}/gamma"] + p[f"{y.name}/beta"]
@@ -200,13 +211,23 @@ def loss_and_slope(loss: str, out: np.ndarray, y: np.ndarray) -> tuple[float, np
     raise ValueError(f"unknown loss {loss}; use one of {LOSSES}")
 
 
-def backward(spec: DenseSpec, p: dict, x: dict, labels: dict, rng) -> tuple[list[float], dict, dict]:
-    """Losses per head, gradients, and new running statistics of the normalised layers."""
-    a, memo = forward(spec, p, x, rng)
+def backward(spec: DenseSpec, p: dict, x: dict, labels: dict, rng, across=None, seen=None) -> tuple[list[float], dict, dict]:
+    """Losses per head, gradients, and new running statistics of the normalised layers.
+
+    With ``across`` the rows are one task's part (none, perhaps) of a batch of ``across.rows``: losses are means over the
+    part, gradients are the part's share of those of the batch, statistics are of the whole batch. ``seen(head, value,
+    label, loss)`` is called with the part's predictions.
+    """
+    a, memo = forward(spec, p, x, rng, across=across)
     down = {y.name: 0.0 for y in spec.layers}
     losses, grads, stats = [], {}, {}
     for h in spec.heads:
-        value, d = loss_and_slope(h.loss, a[h.layer], labels[h.label])
+        rows = len(a[h.layer])
+        value, d = loss_and_slope(h.loss, a[h.layer], labels[h.label]) if rows else (0.0, np.zeros_like(a[h.layer]))
+        if across is not None:
+            d = d * (rows / across.rows)
+        if seen is not None and rows:
+            seen(h, a[h.layer], labels[h.label], value)
         losses.append(value)
         down[h.layer] = down[h.layer] + d
     for y in reversed(spec.layers):
@@ -229,7 +250,9 @@ def backward(spec: DenseSpec, p: dict, x: dict, labels: dict, rng) -> tuple[list
             for part, now in (("mean", mean), ("variance", var)):
                 stats[f"{y.name}/{part}"] = MOMENTUM * p[f"{y.name}/{part}"] + (1 - MOMENTUM) * now
             d = d * p[f"{y.name}/gamma"]
-            d = (d - d.mean(axis=0) - unit * (d * unit).mean(axis=0)) / np.sqrt(var + EPS)
+            means = [d.mean(axis=0), (d * unit).mean(axis=0)] if across is None else \
+                [t / across.rows for t in across.sums([d.sum(axis=0), (d * unit).sum(axis=0)])]
+            d = (d - means[0] - unit * means[1]) / np.sqrt(var + EPS)
         elif y.kind == "drop":
             d = d * memo[y.name]
         start = 0

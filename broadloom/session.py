@@ -58,9 +58,48 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table that ``scratch_path`` named, once nothing reads it any more."""
     if not path.startswith(f"{scratch_base(spark)}/"):
         raise ValueError(f"{path} is not in the scratch folder")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+# --- versioned tables ---------------------------------------------------------------------------
+
+
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the published versions of a table, rising. A version is published by the marker that Spark's committer
+    writes last, so one that failed half-way is not seen."""
+    files, target = _file_system(spark, folder)
+    if not files.exists(target):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(n[8:]) for n in names if n.startswith("version-") and files.exists(path(f"{folder}/{n}/_SUCCESS")))
+
+
+def publish(table: DataFrame, folder: str, keep: int = 2) -> int:
+    """Write the next version of a small table; older ones but the last ``keep`` go once it is published."""
+    spark = table.sparkSession
+    done = versions(spark, folder)
+    number = done[-1] + 1 if done else 0
+    table.coalesce(1).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true") \
+        .parquet(f"{folder}/version-{number}")
+    for old in done[:max(0, len(done) + 1 - keep)]:
+        files, target = _file_system(spark, f"{folder}/version-{old}")
+        files.delete(target, True)
+    return number
+
+
+def latest(spark: SparkSession, folder: str) -> DataFrame:
+    done = versions(spark, folder)
+    if not done:
+        raise FileNotFoundError(f"no published version in {folder}")
+    return spark.read.parquet(f"{folder}/version-{done[-1]}")
