@@ -6,14 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadloom.functions import metrics
 from broadloom.functions.schedule import DECAY_VALUES, decay_boundaries, lr_at
-from broadloom.operators import boosting, dense, features, prepare, search, trees
+from broadloom.operators import boosting, dense, features, prepare, search, sync, trees
 from broadloom.operators.dense import DenseModel
-from broadloom.operators.network import DenseSpec, multitask_spec
+from broadloom.operators.network import DenseSpec, classifier_spec, multitask_spec
 from broadloom.sources.files import read_saved, write_parquet
 
 
@@ -56,6 +56,20 @@ def classify_job(df: DataFrame, label: str, categorical: Sequence[str], numeric:
                          F.col("prediction"))
 
 
+def relu_job(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str], row_id: Column,
+             hidden: Sequence[int] = (15, 15), batch_size: int = 32, epochs: int = 10, rate: float = 1e-3,
+             **options) -> tuple[DataFrame, DataFrame]:
+    """Table -> relu net with one sigmoid unit, trained with Adam on cross-entropy in synchronous steps -> scored test rows with
+    ``probability`` and ``prediction``, and the log of losses and metrics, those of the test rows among them. ``row_id``: a
+    unique number of each row, made of ``keys``; it fixes the batches."""
+    train, test = (d.select(*keys, label, row_id.alias("_id"), vector_to_array("scaled_features").alias("x"))
+                   for d in prepared(df, label, categorical, numeric, keys))
+    spec = classifier_spec("x", len(categorical) + len(numeric), label, list(hidden))
+    model, log = sync.fit_sync(train, spec, "_id", batch_size, epochs, rate, validation=test, **options)
+    scored = dense.score_dense(test, model, "probability").withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
+    return scored.select(*keys, label, "probability", "prediction"), log
+
+
 def boosted_job(df: DataFrame, label: str, numeric: Sequence[str], keys: Sequence[str], path: str,
                 task: str = "classify", **params) -> DataFrame:
     """Table -> boosted trees -> saved and loaded model -> scored test rows."""

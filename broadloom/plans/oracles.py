@@ -304,6 +304,55 @@ def _adam(x: list[str], rounds: int, rate: float) -> str:
         for c, (n, i) in names.items())
 
 
+def _mini_batches(rate: float, rounds: int = 3) -> tuple[str, dict[str, str], list[str]]:
+    """Adam over the batches of one epoch, inputs -> 2 relu units -> 1 sigmoid unit, from the fixed weights: (WITH list, the
+    column of every parameter in ``k{rounds}``, the scored rows of every step before it is taken)."""
+    w, b = fixed.weight, fixed.bias
+    start = {f"u{i}{j}": w(i, j) for i in range(3) for j in range(2)} | {f"c{j}": b(j) for j in range(2)}
+    start |= {f"o{j}": w(j, 0) for j in range(2)} | {"q0": b(0)}
+    ctes = ["t AS MATERIALIZED (SELECT *, i // size AS batch FROM (SELECT (o_custkey % 100) / 100e0 AS x0, month(o_orderdate) / 12e0 AS x1, "
+            "substr(o_orderpriority, 1, 1)::INTEGER / 5e0 AS x2, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y, "
+            f"row_number() OVER (ORDER BY o_orderkey) - 1 AS i, (count(*) OVER () + {rounds - 1}) // {rounds} AS size FROM orders))",
+            "k0 AS (SELECT " + ", ".join(f"{d(v)} AS {n}, 0e0 AS m_{n}, 0e0 AS v_{n}" for n, v in start.items()) + ")"]
+    scored = []
+    for s in range(1, rounds + 1):
+        hidden = ", ".join(f"greatest(0e0, x0 * u0{j} + x1 * u1{j} + x2 * u2{j} + c{j}) AS a{j}" for j in range(2))
+        rows = f"(SELECT *, 1e0 / (1e0 + exp(-(a0 * o0 + a1 * o1 + q0))) AS p FROM (SELECT *, {hidden} FROM t, k{s - 1} WHERE batch = {s - 1}))"
+        ctes.append(f"p{s} AS MATERIALIZED (SELECT *, p - y AS e FROM {rows})")
+        scored.append(f"p{s}")
+        grad = {f"u{i}{j}": f"x{i} * CASE WHEN a{j} > 0 THEN e * o{j} ELSE 0e0 END" for i in range(3) for j in range(2)}
+        grad |= {f"c{j}": f"CASE WHEN a{j} > 0 THEN e * o{j} ELSE 0e0 END" for j in range(2)}
+        grad |= {f"o{j}": f"a{j} * e" for j in range(2)} | {"q0": "e"}
+        ctes.append(f"g{s} AS MATERIALIZED (SELECT " + ", ".join(f"sum({v}) / any_value(size) AS g_{n}" for n, v in grad.items()) + f" FROM p{s})")
+        moved = ", ".join(f"{n}, 0.9e0 * m_{n} + 0.1e0 * g_{n} AS m_{n}, 0.999e0 * v_{n} + 0.001e0 * g_{n} * g_{n} AS v_{n}" for n in start)
+        ctes.append(f"k{s} AS MATERIALIZED (SELECT * REPLACE (" + ", ".join(
+            f"{n} - {d(rate)} * (m_{n} / (1 - pow(0.9e0, {s}))) / (sqrt(v_{n} / (1 - pow(0.999e0, {s}))) + 1e-7) AS {n}"
+            for n in start) + f") FROM (SELECT {moved} FROM k{s - 1}, g{s}))")
+    return "WITH " + ", ".join(ctes) + " ", {n: f"k{rounds}.{n}" for n in start}, scored
+
+
+def training() -> None:
+    ctes, columns, scored = _mini_batches(0.05)
+    names = {f"u{i}{j}": ("dense_1/weight", i * 2 + j) for i in range(3) for j in range(2)}
+    names |= {f"c{j}": ("dense_1/bias", j) for j in range(2)} | {f"o{j}": ("output/weight", j) for j in range(2)}
+    names["q0"] = ("output/bias", 0)
+    ORACLES["sync_steps"] = ctes + " UNION ALL ".join(
+        f"SELECT '{n}' AS name, {i}::BIGINT AS position, round({columns[c]}, 7) AS value FROM k3" for c, (n, i) in names.items())
+    seen = " UNION ALL ".join(f"SELECT {s + 1 + k} AS step, y, p FROM {t}" for s, t in enumerate(scored) for k in range(len(scored) - s))
+    counted = (f"counted AS MATERIALIZED (SELECT step, count(*) AS n, avg(-(y * ln(p) + (1 - y) * ln(1 - p))) AS loss, "
+               "count(*) FILTER (p > 0.5 AND y = 1) AS tp, count(*) FILTER (p <= 0.5 AND y = 0) AS tn, count(*) FILTER (p > 0.5 AND y = 0) AS fp, "
+               f"count(*) FILTER (p <= 0.5 AND y = 1) AS fn FROM ({seen}) GROUP BY step)")
+    bins = f"(SELECT step, least(floor(p * 200), 199) AS bin, sum(y) AS pos, sum(1 - y) AS neg FROM ({seen}) GROUP BY ALL)"
+    ranked = f"(SELECT *, sum(neg) OVER (PARTITION BY step ORDER BY bin) - neg / 2e0 AS below FROM {bins})"
+    area = f"area AS (SELECT step, CASE WHEN sum(pos) * sum(neg) = 0 THEN 0e0 ELSE sum(pos * below) / (sum(pos) * sum(neg)) END AS auc FROM {ranked} GROUP BY step)"
+    rows = {"output_bce": "loss", "output_accuracy": "(tp + tn) / n", "output_precision": "CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END",
+            "output_recall": "CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END", "output_auc": "auc", "output_tp": "tp", "output_tn": "tn",
+            "output_fp": "fp", "output_fn": "fn", "rows": "n"}
+    ORACLES["fit_log"] = ctes[:-1] + f", {counted}, {area} " + " UNION ALL ".join(
+        f"SELECT 'fit' AS run, 0 AS epoch, step::BIGINT AS step, '{m}' AS metric, round(({e})::DOUBLE, 6) + 0e0 AS value FROM counted JOIN area USING (step)"
+        for m, e in rows.items())
+
+
 def steps() -> None:
     ORACLES["batch_plan"] = f"SELECT * FROM {_plan('orders', 'o_orderkey', 160, 'o_orderkey, o_totalprice')}"
     ORACLES["batch_plan_nulls"] = (
@@ -449,5 +498,5 @@ def reports() -> None:
                                f"AS value FROM {plan} WHERE batch % 10 = 0 GROUP BY batch")
 
 
-for _part in (generators, tables, feature_tables, sequence_tables, boosting, steps, scores, networks, reports):
+for _part in (generators, tables, feature_tables, sequence_tables, boosting, training, steps, scores, networks, reports):
     _part()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from broadloom.functions import arrays, metrics
 from broadloom.functions.schedule import piecewise_lr
-from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, trees
+from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, sync, trees
 from broadloom.operators import network as net
 from broadloom.plans import fixed, jobs
 from broadloom.session import load_table, scratch_path
@@ -675,6 +675,41 @@ def dense_regress(spark, sf):
     return log
 
 
+def status_rows(spark, sf) -> DataFrame:
+    """Orders with three inputs and whether they are finished."""
+    return order_rows(spark, sf).drop("target").join(
+        orders(spark, sf).select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y")), "o_orderkey")
+
+
+def status_fit(spark, sf, log_every: int = 1):
+    """One epoch of three synchronous Adam steps of a relu net from fixed weights; the last batch may be smaller."""
+    rows, spec = status_rows(spark, sf), net.classifier_spec("x", 3, "y", [2])
+    return sync.fit_sync(rows, spec, "o_orderkey", max(1, -(-rows.count() // 3)), rate=0.05, init=fixed.fixed_model(spec), tasks=2, log_every=log_every)
+
+
+@query
+def sync_steps(spark, sf):
+    """Parameters after three synchronous mini-batch steps."""
+    return status_fit(spark, sf)[0].param_table(spark).select(
+        F.concat_ws("/", "layer", "name").alias("name"), F.posexplode("values").alias("position", "value")).select(
+        "name", F.col("position").cast("bigint").alias("position"), F.round("value", 7).alias("value"))
+
+
+@query
+def fit_log(spark, sf):
+    """Loss, confusion counts, area under the curve (by score bins) after each step of a fit, since the epoch began."""
+    return status_fit(spark, sf)[1].withColumn("value", r6("value"))
+
+
+@query
+def relu_classify(spark, sf):
+    """Relu net with Adam as a job: drop nulls, split, index, assemble, scale, fit in synchronous rounds, score, judge."""
+    df = with_gaps(lines(spark, sf)).withColumn("label", returned())
+    number = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_id")
+    scored, _ = jobs.relu_job(df, "label", ["l_linestatus"], NUMERIC, LINE_KEYS, number, batch_size=4096, rate=1e-2, tasks=4, sync_every=50)
+    return metrics.confusion_counts(scored, "label", "prediction").withColumn("n_rows", F.expr("tp + tn + fp + fn"))
+
+
 @query
 def trained_rows(spark, sf):
     """Rows that each epoch of a fit has trained: all of them, and with ``drop_last`` whole batches."""
