@@ -251,6 +251,7 @@ def boosting() -> None:
     p = "1e0 / (1e0 + exp(-m))"
     ORACLES["boost_score"] = (f"{ctes} SELECT l_orderkey, l_quantity, {r6('m')} AS margin, {r6(p)} AS probability, "
                               f"CASE WHEN {p} > 0.5 THEN 1e0 ELSE 0e0 END AS prediction FROM {rows}")
+    ORACLES["boost_score_sql"] = ORACLES["boost_score"]
     per = f"(SELECT feature, sum(gain) AS gain FROM {nodes} WHERE feature IS NOT NULL GROUP BY feature)"
     ORACLES["feature_importance"] = (f"{ctes} SELECT feature::INTEGER AS feature, {r6('gain')} AS gain, "
                                      f"{r6('gain / sum(gain) OVER ()')} AS importance FROM {per}")
@@ -470,6 +471,7 @@ def networks() -> None:
 
 
 def reports() -> None:
+    ORACLES["gbt_score_sql"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     ORACLES["model_roundtrip"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     ORACLES["params_roundtrip"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM orders"
     grid = "(SELECT s * 3 + k AS trial, n_estimators FROM range(2) a(s), (VALUES (0, 50), (1, 100), (2, 200)) g(k, n_estimators))"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from broadloom.functions import arrays, metrics
 from broadloom.functions.schedule import piecewise_lr
-from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, sync, trees
+from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, sync, trees, treesql
 from broadloom.operators import network as net
 from broadloom.plans import fixed, jobs
 from broadloom.session import load_table, scratch_path
@@ -360,6 +360,14 @@ def boost_score(spark, sf):
                          r6("probability").alias("probability"), "prediction")
 
 
+@query
+def boost_score_sql(spark, sf):
+    """The model as one SQL expression: no Python in the scoring tasks."""
+    model = treesql.of_hist(boost_model(spark, sf, "y", fixed.CLASSIFY))
+    scored = treesql.with_classes(treesql.score_sql(boost_rows(spark, sf), model, "x"))
+    return scored.select("l_orderkey", "l_quantity", r6("margin").alias("margin"), r6("probability").alias("probability"), "prediction")
+
+
 @query
 def feature_importance(spark, sf):
     found = boosting.boost_importances(boost_model(spark, sf, "y", fixed.CLASSIFY).node_table(spark))
@@ -636,6 +644,17 @@ def gbt_score(spark, sf):
                          vector_to_array("probability").alias("probability"), "prediction")
 
 
+@query
+def gbt_score_sql(spark, sf):
+    """Spark ML trees as one SQL expression, compared with the model's own scores on every row."""
+    df = assembled(spark, sf).withColumn("x", vector_to_array("features"))
+    model = trees.fit_gbt(df, "features", "y", rounds=2, depth=3)
+    scored = treesql.with_classes(treesql.score_sql(df, treesql.of_gbt(spark, model), "x"), 2.0)
+    both = trees.score_gbt(scored.withColumnsRenamed({"probability": "p", "prediction": "said"}), model, "features")
+    same = (F.abs(vector_to_array("probability")[1] - F.col("p")) < 1e-12) & (F.col("prediction") == F.col("said"))
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(~same).alias("n_different"))
+
+
 @query
 def model_roundtrip(spark, sf):
     """A saved and loaded tree model gives equal scores on every row."""
