@@ -19,13 +19,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from broadloom.operators.columns import floats
+from broadloom.operators.quantiles import weighted_edges
 from broadloom.session import materialize, remove_scratch, scratch_path
 
 MISSING = 255  # bin byte of a missing value; real bins are 0..254
@@ -88,20 +89,6 @@ def pick_split(sums: DataFrame, reg_lambda: float, gamma: float, min_child_weigh
 # --- arrays inside tasks -----------------------------------------------------------------------
 
 
-def floats(column: pa.Array, width: int | None = None, name: str = "features") -> np.ndarray:
-    """array<double> column -> matrix; a null element becomes NaN. A null array, or arrays that are not all of one length
-    (``width`` if given), are an error: values must never move between rows."""
-    if not len(column):
-        return np.empty((0, width or 0))
-    lengths = pa.compute.min_max(pa.compute.list_value_length(column)).as_py()
-    width = lengths["max"] if width is None else width
-    if column.null_count or not lengths["min"] == lengths["max"] == width:
-        raise ValueError(f"{name}: every row needs an array of {width} values; {column.null_count} are null, "
-                         f"lengths run from {lengths['min']} to {lengths['max']}")
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(len(column), width)
-
-
 def to_binary(matrix: np.ndarray) -> pa.Array:
     n, width = matrix.shape
     offsets = np.arange(n + 1, dtype=np.int32) * width
@@ -126,7 +113,7 @@ def quantile_edges(df: DataFrame, features: str, max_bins: int = MISSING) -> lis
     values = df.select(F.posexplode(features).alias("i", "v")).groupBy("i").agg(
         F.percentile_approx(F.nanvl("v", F.lit(None)), probabilities, 4 * max_bins).alias("q"))
     found = {r.i: sorted(set(r.q or []))[1:] for r in values.collect()}  # one row per feature
-    return [found[i] for i in sorted(found)]
+    return [found[i] for i in sorted(found)]  # ``quantiles.weighted_edges`` needs no exploding and takes weights
 
 
 def binned(features: str, edges: Sequence[Sequence[float]]) -> Column:
@@ -298,12 +285,15 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
     only the lighter child of each split, and the other comes as parent minus child: half the work and
     half the shuffle of a level, for one small join.
 
-    ``partitions`` lays the binned table out once; by default it keeps the partitions of the input, whatever cores
+    Without ``edges``, features are cut where the second derivative of the loss at the start is split evenly
+    (``quantiles.weighted_edges``). ``partitions`` lays the binned table out once; by default it keeps the partitions of the input, whatever cores
     there are. A null or NaN label is an error.
     """
     spark = df.sparkSession
     if edges is None:
-        edges = quantile_edges(df, features, max_bins)
+        y = F.col(label).cast("double")
+        hessian = gradient(y, F.lit(float(base_margin)), class_weight(y, pos_weight), objective)[1]
+        edges = weighted_edges(df, features, hessian, max_bins)
     dim, bins = len(edges), max(len(e) for e in edges) + 1
     y = F.col(label).cast("double")
     rows_in = df if partitions is None else df.repartition(partitions)

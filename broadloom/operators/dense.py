@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from broadloom.functions import metrics
 from broadloom.operators import network as net
-from broadloom.operators.boosting import floats
+from broadloom.operators.columns import floats
 from broadloom.operators.network import DenseSpec
 from broadloom.operators.prepare import batch_plan
 from broadloom.session import latest, publish

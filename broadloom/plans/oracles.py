@@ -198,12 +198,13 @@ def _pick(hist: str, lam: float, gamma: float, least: float, only: str = "") ->
             WHERE gain > 1e-9) WHERE rk = 1"""
 
 
-def _boost(label: str, options: dict, source: str = "lineitem", part: str = "0") -> tuple[str, str, str]:
+def _boost(label: str, options: dict, source: str = "lineitem", part: str = "0",
+           cuts: list[list[float]] = fixed.BOOST_EDGES) -> tuple[str, str, str]:
     """Rounds of boosting unrolled: (WITH list, name of the node table, name of the last row table). Splits
     are chosen from the rows whose ``part`` is 0; every row is scored."""
     lam, eta, depth = options["reg_lambda"], options["eta"], options["max_depth"]
     bins = ", ".join("(" + " + ".join(f"({c} >= {d(e)})::INTEGER" for e in edges) + f") AS b{i}"
-                     for i, (c, edges) in enumerate(zip(fixed.BOOST_FEATURES, fixed.BOOST_EDGES)))
+                     for i, (c, edges) in enumerate(zip(fixed.BOOST_FEATURES, cuts)))
     logistic = options["objective"] == "binary:logistic"
     ctes = [f"r0 AS MATERIALIZED (SELECT l_orderkey, l_quantity, {bins}, ({label})::DOUBLE AS y, 0e0 AS m, {part} AS part FROM {source})"]
     tables = []
@@ -252,6 +253,18 @@ def boosting() -> None:
     ORACLES["boost_score"] = (f"{ctes} SELECT l_orderkey, l_quantity, {r6('m')} AS margin, {r6(p)} AS probability, "
                               f"CASE WHEN {p} > 0.5 THEN 1e0 ELSE 0e0 END AS prediction FROM {rows}")
     ORACLES["boost_score_sql"] = ORACLES["boost_score"]
+    every = [[float(i) for i in range(2, 51)], [i / 100 for i in range(1, 11)], [i / 100 for i in range(1, 9)]]
+    more, nodes_of_all, _ = _boost(Y, fixed.CLASSIFY, cuts=every)
+    cut = "CASE feature WHEN 0 THEN bin + 2 ELSE (bin + 1) / 100e0 END"
+    ORACLES["boost_sketch_rounds"] = (f"{more} SELECT tree, node::INTEGER AS node, feature::INTEGER AS feature, round(({cut})::DOUBLE, 6) + 0e0 AS threshold, "
+                                      f"round(gain, 4) AS gain, {r6('leaf')} AS leaf FROM {nodes_of_all}")
+    valued = " UNION ALL ".join(f"SELECT {i} AS feature, {c} AS v, CASE WHEN l_returnflag = 'R' THEN 2e0 ELSE 1e0 END AS w FROM lineitem"
+                                for i, c in enumerate(fixed.BOOST_FEATURES))
+    run = (f"(SELECT feature, v, sum(sum(w)) OVER (PARTITION BY feature ORDER BY v) AS upto, sum(sum(w)) OVER (PARTITION BY feature) AS whole, "
+           f"min(v) OVER (PARTITION BY feature) AS least FROM ({valued}) GROUP BY feature, v)")
+    reached = f"(SELECT DISTINCT feature, min(v) AS v, any_value(least) AS least FROM {run}, range(1, 16) t(i) WHERE upto >= i * whole / 16 GROUP BY feature, i)"
+    ORACLES["weighted_quantiles"] = (f"SELECT feature, (row_number() OVER (PARTITION BY feature ORDER BY v) - 1)::INTEGER AS position, {r6('v')} AS edge "
+                                     f"FROM {reached} WHERE v > least")
     per = f"(SELECT feature, sum(gain) AS gain FROM {nodes} WHERE feature IS NOT NULL GROUP BY feature)"
     ORACLES["feature_importance"] = (f"{ctes} SELECT feature::INTEGER AS feature, {r6('gain')} AS gain, "
                                      f"{r6('gain / sum(gain) OVER ()')} AS importance FROM {per}")

@@ -12,6 +12,7 @@ from broadloom.functions import arrays, metrics
 from broadloom.functions.schedule import piecewise_lr
 from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, sync, trees, treesql
 from broadloom.operators import network as net
+from broadloom.operators import quantiles
 from broadloom.plans import fixed, jobs
 from broadloom.session import load_table, scratch_path
 from broadloom.sources import files, generate
@@ -360,6 +361,21 @@ def boost_score(spark, sf):
                          r6("probability").alias("probability"), "prediction")
 
 
+@query
+def weighted_quantiles(spark, sf):
+    """Cut points of three features into 16 parts of equal weight, rows with label 1 counting twice."""
+    found = quantiles.weighted_edges(boost_rows(spark, sf), "x", boosting.class_weight("y"), 16)
+    rows = [(f, i, e) for f, edges in enumerate(found) for i, e in enumerate(edges)]  # at most 15 a feature
+    return spark.createDataFrame(rows, "feature int, position int, edge double").withColumn("edge", r6("edge"))
+
+
+@query
+def boost_sketch_rounds(spark, sf):
+    """Boosting whose cut points come from the weighted summaries: every distinct value of these features but the least."""
+    model = boosting.fit_hist_boost(boost_rows(spark, sf), "x", "y", **fixed.CLASSIFY)
+    return model.node_table(spark).select("tree", "node", "feature", r6("threshold").alias("threshold"), F.round("gain", 4).alias("gain"), r6("leaf").alias("leaf"))
+
+
 @query
 def boost_score_sql(spark, sf):
     """The model as one SQL expression: no Python in the scoring tasks."""
