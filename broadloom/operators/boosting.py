@@ -69,10 +69,10 @@ def best_split(hist: DataFrame, reg_lambda: float = 1.0, gamma: float = 0.0,
     ).where("bin IS NOT NULL"), reg_lambda, gamma, min_child_weight)
 
 
-def pick_split(sums: DataFrame, reg_lambda: float, gamma: float, min_child_weight: float) -> DataFrame:
+def pick_split(sums: DataFrame, reg_lambda: float | str, gamma: float | str, min_child_weight: float | str) -> DataFrame:
     """Best split per node from running sums: (node, feature, bin, g, h, run_g, run_h, lost_g, lost_h), where
-    g and h are totals of (node, feature), and lost_* those of its missing values."""
-    lam, least = f"{float(reg_lambda)!r}D", f"{float(min_child_weight)!r}D"
+    g and h are totals of (node, feature), and lost_* those of its missing values. A parameter may be an SQL expression of the node."""
+    lam, loss, least = (x if isinstance(x, str) else f"{float(x)!r}D" for x in (reg_lambda, gamma, min_child_weight))
     sided = sums.selectExpr(
         "*", "explode(CASE WHEN lost_h = 0 THEN array(false) ELSE array(false, true) END) AS missing_left"
     ).selectExpr("node", "feature", "bin", "missing_left", "g", "h",
@@ -80,7 +80,7 @@ def pick_split(sums: DataFrame, reg_lambda: float, gamma: float, min_child_weigh
                  "run_h + CASE WHEN missing_left THEN lost_h ELSE 0D END AS hl")
     gained = sided.where(f"hl > 0 AND h - hl > 0 AND hl >= {least} AND h - hl >= {least}").selectExpr(
         "*", f"0.5D * (gl * gl / (hl + {lam}) + (g - gl) * (g - gl) / (h - hl + {lam}) - g * g / (h + {lam}))"
-             f" - {float(gamma)!r}D AS gain")
+             f" - {loss} AS gain")
     best = F.expr("max_by(struct(feature, bin, missing_left, gain, gl, hl, g, h),"
                   " struct(CAST(gain AS FLOAT), -feature, -bin, NOT missing_left))")
     return gained.where("gain > 1e-9D AND NOT isnan(gain)").groupBy("node").agg(best.alias("_s")).select("node", "_s.*")

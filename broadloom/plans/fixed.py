@@ -14,6 +14,8 @@ CLASSIFY = {"objective": "binary:logistic", "eta": 0.3, "gamma": 0.1, "reg_lambd
 REGRESS = {"objective": "reg:squarederror", "eta": 0.3, "gamma": 0.1, "reg_lambda": 1.0, "min_child_weight": 30.0,
            "pos_weight": 1.0, "max_depth": 2, "num_round": 3}
 SEARCH = {"eta": 0.5, "min_child_weight": 3.0}
+TRIALS = {"gamma": 0.1, "reg_lambda": 1.0, "min_child_weight": 30.0, "pos_weight": 1.0}
+TRIAL_ROUNDS, TRIAL_DEPTHS, TRIAL_RATES = [1, 3], [1, 2], [0.3, 0.9]
 HISTORY = 64
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 

@@ -487,15 +487,25 @@ def reports() -> None:
     ORACLES["gbt_score_sql"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     ORACLES["model_roundtrip"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     ORACLES["params_roundtrip"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM orders"
-    grid = "(SELECT s * 3 + k AS trial, n_estimators FROM range(2) a(s), (VALUES (0, 50), (1, 100), (2, 200)) g(k, n_estimators))"
-    trials = (f"(SELECT trial, n_estimators::INTEGER AS n_estimators, [2, 4, 6][h % 3 + 1] AS max_depth "
-              f"FROM {_mix(grid, ['trial'], 3)})")
-    judged = (f"(SELECT trial, n_estimators, max_depth, (SELECT {r6(f'avg(CASE WHEN (l_quantity * 4 > n_estimators - max_depth) = (l_returnflag = {chr(39)}R{chr(39)}) THEN 0e0 ELSE 1e0 END)')} "
-              f"FROM lineitem) AS error FROM {trials})")
-    ORACLES["search_trials"] = f"SELECT * FROM {judged}"
-    ORACLES["search_best"] = f"SELECT * FROM {judged} ORDER BY error, trial LIMIT 1"
     source = _mix("lineitem", ["l_orderkey"], 24)
     part = "CASE WHEN h % 1000000 < 800000 THEN 0 ELSE 1 END"
+    fitted = []
+    for depth in fixed.TRIAL_DEPTHS:
+        for eta in fixed.TRIAL_RATES:
+            ctes, _, _ = _boost(Y, fixed.TRIALS | {"num_round": max(fixed.TRIAL_ROUNDS), "max_depth": depth, "eta": eta, "objective": "binary:logistic"}, source, part)
+            wrong = "avg(CASE WHEN (m > 0) = (y = 1) THEN 0e0 ELSE 1e0 END)"
+            each = " UNION ALL ".join(f"SELECT {n} AS n_estimators, {wrong} AS error FROM r{n} WHERE part = 1" for n in fixed.TRIAL_ROUNDS)
+            fitted.append(f"SELECT n_estimators, {depth} AS max_depth, {d(eta)} AS eta, error FROM ({ctes} {each})")
+    rounds = ", ".join(f"({k}, {n})" for k, n in enumerate(fixed.TRIAL_ROUNDS))
+    grid = f"(SELECT s * {len(fixed.TRIAL_ROUNDS)} + k AS trial, n_estimators FROM range(2) a(s), (VALUES {rounds}) g(k, n_estimators))"
+    depths = f"(SELECT trial, {fixed.TRIAL_DEPTHS}[h % {len(fixed.TRIAL_DEPTHS)} + 1] AS max_depth, n_estimators FROM {_mix(grid, ['trial'], 3)})"
+    rates = "[" + ", ".join(map(d, fixed.TRIAL_RATES)) + "]"
+    drawn = f"(SELECT trial, n_estimators, max_depth, {rates}[h % {len(fixed.TRIAL_RATES)} + 1] AS eta FROM {_mix(depths, ['trial'], 4)})"
+    trials = (f"SELECT trial::BIGINT AS trial, n_estimators::INTEGER AS n_estimators, max_depth::INTEGER AS max_depth, eta, {r6('error')} AS error "
+              f"FROM {drawn} JOIN ({' UNION ALL '.join(fitted)}) USING (n_estimators, max_depth, eta)")
+    ORACLES["search_trials"] = trials
+    ORACLES["search_best"] = f"SELECT * FROM ({trials}) ORDER BY error, trial LIMIT 1"
+    ORACLES["search_saved"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     tried = []
     for n in (1, 2):
         for depth in (1, 2):

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from broadloom.functions import arrays, metrics
 from broadloom.functions.schedule import piecewise_lr
 from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, sync, trees, treesql
+from broadloom.operators import manyboost, quantiles
 from broadloom.operators import network as net
-from broadloom.operators import quantiles
 from broadloom.plans import fixed, jobs
 from broadloom.session import load_table, scratch_path
 from broadloom.sources import files, generate
@@ -820,31 +820,34 @@ def params_roundtrip(spark, sf):
 # --- search and reports -------------------------------------------------------------------------
 
 
-SPACE = {"n_estimators": search.Grid([50, 100, 200]), "max_depth": search.Choice([2, 4, 6])}
+SPACE = {"n_estimators": search.Grid(fixed.TRIAL_ROUNDS), "max_depth": search.Choice(fixed.TRIAL_DEPTHS), "eta": search.Choice(fixed.TRIAL_RATES)}
 
 
-def judged_trials(spark, sf) -> DataFrame:
-    """Each trial as a threshold rule, all judged in one pass over the table."""
-    trials = search.expand_trials(spark, SPACE, n_sampling=2, seed=2)
-    space = trials.collect()
-
-    def wrong(t) -> Column:
-        rule = F.col("l_quantity") * 4 > F.lit(t.n_estimators - t.max_depth)
-        return F.avg((rule.cast("int") != F.col("y")).cast("double"))
-
-    errors = lines(spark, sf).select("l_quantity", returned()).agg(
-        F.map_from_arrays(F.array(*[F.lit(t.trial) for t in space]), F.array(*[wrong(t) for t in space])).alias("m"))
-    return trials.join(errors.select(F.explode("m").alias("trial", "error")), "trial")
+def judged_trials(spark, sf) -> tuple[DataFrame, DataFrame, boosting.BoostModel]:
+    """Rounds x depth x rate, sampled twice: all trials are fitted together, one job a level, and judged in one pass."""
+    train, valid = prepare.hash_split(boost_rows(spark, sf), ["l_orderkey"], [0.8, 0.2])
+    return manyboost.search_many(train, valid, "x", "y", search.expand_trials(spark, SPACE, n_sampling=2, seed=2), edges=fixed.BOOST_EDGES, **fixed.TRIALS)
 
 
 @query
 def search_trials(spark, sf):
-    return judged_trials(spark, sf).withColumn("error", r6("error"))
+    return judged_trials(spark, sf)[0].withColumn("error", r6("error"))
 
 
 @query
 def search_best(spark, sf):
-    return search.best_trial(judged_trials(spark, sf), "error").withColumn("error", r6("error"))
+    return judged_trials(spark, sf)[1].withColumn("error", r6("error"))
+
+
+@query
+def search_saved(spark, sf):
+    """The best model of a search, saved and loaded, scores every row as before."""
+    model = judged_trials(spark, sf)[2]
+    path = scratch_path(spark, "best")
+    model.save(spark, path)
+    both = boosting.score_hist_boost(boost_rows(spark, sf), model, "x").withColumnRenamed("margin", "m0")
+    both = boosting.score_hist_boost(both, boosting.BoostModel.load(spark, path), "x")
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("m0") != F.col("margin")).alias("n_different"))
 
 
 @query
