@@ -347,7 +347,7 @@ def score_dense(df: DataFrame, model: DenseModel, out: str = "prediction", layer
 
 def transfer_spec(width: int, label: str, units: Sequence[int] = (512, 256, 128, 64),
                   column: str = "frozen") -> DenseSpec:
-    """New head over the frozen features of a fitted model."""
+    """New head over the frozen features of a fitted model. Units and layer names."""
     chain = net.dense_chain(column, list(units), [f"d{i}" for i in range(len(units))])
     out = net.Layer("output", "dense", (chain[-1].name,), 1, "linear")
     return DenseSpec({column: width}, (*chain, out), (net.Head("output", label, "mse"),))

@@ -88,7 +88,8 @@ def multitask_spec(width: int, target: int, classes: int = 2, vocab: tuple[int,
                    encoder: tuple[int, ...] = (512, 256, 128), top: tuple[int, ...] = (128, 64, 32),
                    ids: tuple[str, str] = ("input_1", "input_2"), vector: str = "input_3",
                    labels: tuple[str, str] = ("decoder_4", "output")) -> DenseSpec:
-    """Two embedded ids and a vector: one head rebuilds a vector, the other classifies."""
+    """Two embedded ids and a vector: one head rebuilds a vector, the other classifies.
+    Fixed values: layer names, widths, vocabularies, column names."""
     layers: list[Layer] = []
     for i, c in enumerate(ids, 1):
         layers.append(Layer(f"embed_{i}", "embed", (c,), embed, vocab=vocab[i - 1]))

@@ -26,15 +26,20 @@ def fit_mlp(df: DataFrame, column: str, label: str, layers: Sequence[int], round
 
 
 def prepared(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str],
-             partitions: int | None = None, fit_on: str = "train", seed: int = 24) -> tuple[DataFrame, DataFrame]:
+             partitions: int | None = None, fit_on: str = "train", seed: int = 24,
+             join_index: bool = False) -> tuple[DataFrame, DataFrame]:
     """Select, drop null rows, split, index, assemble, scale. The index and the moments come from the
-    training rows (``fit_on="all"``: from every row). Returns train and test with ``scaled_features``."""
+    training rows (``fit_on="all"``: from every row). Returns train and test with ``scaled_features``. ``join_index`` numbers
+    categories by a join, for columns of more values than the driver should hold; either way an unseen category is an error."""
     wanted = list(dict.fromkeys([*keys, label, *categorical, *numeric]))
     df = prepare.drop_null_rows(prepare.spread(df.select(*wanted), partitions))
     df = prepare.with_split(df, keys, [0.8, 0.2], seed, "_split")
     fitted = (lambda d: d) if fit_on == "all" else (lambda d: d.where(F.col("_split") == 0))
     indexed = [f"{c}_index" for c in categorical]
-    if categorical:
+    if categorical and join_index:
+        for c, out in zip(categorical, indexed):
+            df = features.string_index_join(df, c, out, fit_on=fitted(df))
+    elif categorical:
         df = features.string_index(df, categorical, indexed, fit_on=fitted(df))
     df = features.assemble(df, [*indexed, *numeric])
     df = features.standard_scale(df, fit_on=fitted(df)).drop("features")
@@ -50,7 +55,7 @@ def classify_job(df: DataFrame, label: str, categorical: Sequence[str], numeric:
         width = len(categorical) + len(numeric)
         model = fit_mlp(train, "scaled_features", label, [width, *hidden, 2], rounds)
     finally:
-        train.unpersist()
+        train.unpersist(blocking=True)
     scored = model.transform(test)
     return scored.select(*keys, label, F.get(vector_to_array("probability"), F.lit(1)).alias("probability"),
                          F.col("prediction"))
@@ -80,7 +85,7 @@ def boosted_job(df: DataFrame, label: str, numeric: Sequence[str], keys: Sequenc
     try:
         trees.save_model(trees.fit_gbt(train, "features", "label", task, **params), path)
     finally:
-        train.unpersist()
+        train.unpersist(blocking=True)
     return trees.score_gbt(test, trees.load_gbt(path, task), "features").drop("features")
 
 

@@ -7,6 +7,7 @@ Written from the definitions, not from the Spark plans. ``_mix`` repeats ``funct
 from __future__ import annotations
 
 from broadloom.plans import fixed
+from broadloom.sources.generate import SEQUENCE_COLUMNS
 
 P = 2147483647
 ORACLES: dict[str, str] = {}
@@ -86,11 +87,8 @@ def generators() -> None:
         *_wide(_uniform, 8), f"{r6(f'100e0 + {_uniform(8)} * 100e0')} AS output", f"{_int(9, 5)} AS input_1",
         f"{_int(10, 5)} AS input_2"])
     ORACLES["gen_sequence_flat"] = _gen(12, [*_wide(_uniform, 16), f"{_uniform(16)} AS output"])
-    names = ["scaled_trx_amt_v", "scaled_trx_diff_v", "trx_time_hours_v", "txn_month_v", "txn_weekday_v",
-             "product_code_v", "cardholder_txn_type_v", "city_name_v", "merchant_name_v", "mcc_code_v",
-             "merchant_location_id_v"]
     out = []
-    for i, c in enumerate(names):
+    for i, c in enumerate(SEQUENCE_COLUMNS):
         total = " + ".join(_uniform(i * 20 + k) for k in range(20))
         out += [f"{r6(total)} AS {c}_sum", f"{_uniform(i * 20)} AS {c}_first", f"{_uniform(i * 20 + 19)} AS {c}_last"]
     ORACLES["gen_sequence_vectors"] = _gen(13, [*out, f"{_int(220, 2)}::DOUBLE AS label_per_client"])
@@ -461,7 +459,7 @@ def networks() -> None:
     ORACLES["score_append"] = f"SELECT vec_id, label, {r6('y0')} AS prediction FROM {one}"
     ORACLES["score_full_batches"] = (f"SELECT vec_id, batch, {r6('y0')} AS prediction FROM "
                                      f"{_plan(one, 'vec_id', 160, 'vec_id, y0')}")
-    ORACLES["score_roundtrip"] = f"SELECT vec_id, {r6('y0')} AS prediction FROM {one} ORDER BY vec_id LIMIT 5"
+    ORACLES["score_roundtrip"] = f"SELECT vec_id, {r6('y0')} AS prediction FROM {one}"
     rows = "embeddings"
     for c, n in ((1, 5), (2, 3)):
         e = [f"(({'vec_id'} % {n} * 5 + {3 * k}) % 7 - 3) / 4e0" for k in range(4)]
@@ -479,11 +477,12 @@ def networks() -> None:
     rows = _layer(rows, normed, 5, 2, False, "z")
     ORACLES["score_multi_output"] = (
         f"SELECT vec_id, {r6('1e0 / (1e0 + exp(z1 - z0))')} AS class0, {r6('1e0 / (1e0 + exp(z0 - z1))')} AS class1, "
-        + ", ".join(f"{r6(f'dc{i}')} AS rebuilt{i}" for i in range(4))
+        + ", ".join(f"{r6(f'dc{i}')} AS rebuilt{i}" for i in range(64))
         + f", {r6(' + '.join(f'dc{i}' for i in range(64)))} AS rebuilt_sum FROM {rows}")
 
 
 def reports() -> None:
+    ORACLES["regressor_roundtrip"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     ORACLES["gbt_score_sql"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     ORACLES["model_roundtrip"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM lineitem"
     ORACLES["params_roundtrip"] = "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM orders"

@@ -216,3 +216,16 @@ def test_split_join_of_null_keys(spark, small):
     plain = features.split_join(rows, table, ["k"], small=small)
     assert sorted((r.i, r.v) for r in plain.where("v IS NOT NULL").collect()) == [(2, 20)]
     assert features.split_join(rows.limit(0), table, ["k"], "inner", small=small).count() == 0
+
+
+def test_prepared_by_join_equals_prepared_by_list(spark):
+    from broadloom.plans import jobs
+
+    rows = [(i, ["a", "b", "c"][i * i % 3], float(i % 11), i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, c string, v double, y int")
+    listed, joined = (jobs.prepared(df, "y", ["c"], ["v"], ["id"], join_index=j) for j in (False, True))
+    for a, b in zip(listed, joined):
+        assert sorted(map(str, a.select("id", "scaled_features").collect())) == sorted(map(str, b.select("id", "scaled_features").collect()))
+    unseen = df.withColumn("c", F.when(F.col("id") % 100 == 7, F.concat(F.lit("new"), "id")).otherwise(F.col("c")))
+    with pytest.raises(Exception):
+        [d.collect() for d in jobs.prepared(unseen, "y", ["c"], ["v"], ["id"], join_index=True)]
