@@ -2,7 +2,7 @@
 
 A row's place in key order fixes its batch, so the steps are those of one task over the whole table, whatever the number of
 tasks: every task sums the gradients of its part of the batch, the parts are gathered chunk by chunk and added in the same
-order everywhere, and each task takes the same step. Batch normalisation uses the moments of the whole batch, dropout a
+order everywhere, and each task takes the same step; of an embedding table only the rows that a part looks up are sent. Batch normalisation uses the moments of the whole batch, dropout a
 hash of (row, unit, step). With ``sync_every`` = k > 1 tasks take k steps of their own and then average (local SGD: Stich 2019).
 
 Each gather sends the gradients of all tasks to each task, through the barrier coordinator, and takes a second at least, as
@@ -152,6 +152,20 @@ class Across:
         cuts = np.cumsum([np.size(a) for a in arrays])[:-1]
         return [t.reshape(np.shape(a)) for t, a in zip(np.split(total, cuts), arrays)]
 
+    def table_sum(self, grad: np.ndarray, most: int) -> np.ndarray:
+        """Sum of a gradient of which each task touches at most ``most`` rows: only these are sent, with their numbers. Equal to
+        the sum of whole tables to the last bit."""
+        most = min(most, len(grad))
+        touched = np.flatnonzero(grad.any(axis=1))
+        told = np.full((most, 1 + grad.shape[1]), -1.0)
+        told[:len(touched), 0], told[:len(touched), 1:] = touched, grad[touched]
+        total = np.zeros_like(grad)
+        for part in self.gathered(told.ravel()):
+            part = part.reshape(most, -1)
+            part = part[part[:, 0] >= 0]
+            total[part[:, 0].astype(np.int64)] += part[:, 1:]
+        return total
+
     def moments(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mean and variance of the columns over all tasks, from each task's (n, mean, squared deviations)."""
         width, n = v.shape[1], len(v)
@@ -220,7 +234,8 @@ def _epoch(spec: DenseSpec, shared, tasks: int, rows: int, size: int, first: int
         context = BarrierTaskContext.get()
         across = Across(context, tasks)
         p, m, v = ({n: a.copy() for n, a in d.items()} for d in shared.value)
-        order, moved = sorted(p), sorted(n for n in p if net.trainable(n))
+        tables = sorted(f"{y.name}/table" for y in spec.layers if y.kind == "embed")
+        order, moved = sorted(p), sorted(n for n in p if net.trainable(n) and n not in tables)
         counts: dict[int, np.ndarray] = {}
         since = 0
 
@@ -249,7 +264,9 @@ def _epoch(spec: DenseSpec, shared, tasks: int, rows: int, size: int, first: int
             if sync_every == 1:
                 across.rows = count
                 _, grads, stats = net.backward(spec, p, x, y, random, across, seen)
-                total = dict(zip(moved, across.sums([grads[n] * (count / size) if n in grads else np.zeros_like(p[n]) for n in moved])))
+                grads = {n: grads[n] * (count / size) if n in grads else np.zeros_like(p[n]) for n in [*moved, *tables]}
+                total = dict(zip(moved, across.sums([grads[n] for n in moved])))
+                total |= {n: across.table_sum(grads[n], -(-size // tasks)) for n in tables}  # a part has no more rows
                 net.adam(p, total, m, v, step, rate(step))
                 p.update(stats)
             elif mine:

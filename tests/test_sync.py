@@ -117,6 +117,32 @@ def test_moments_merge_to_those_of_all_rows():
     assert np.allclose(mean, v.mean(axis=0)) and np.allclose(var, v.var(axis=0))
 
 
+def test_only_touched_rows_of_a_table_are_sent():
+    r = np.random.default_rng(2)
+    grads = []
+    for k in range(3):
+        g = np.zeros((1000, 4))
+        g[r.choice(1000, 5 - k, replace=False)] = r.normal(size=(5 - k, 4))
+        grads.append(g)
+    sent = []
+
+    class Fake(sync.Across):
+        def gathered(self, told):
+            sent.append(told)
+            return self.parts
+
+    fakes = []
+    for g in grads:
+        across = Fake(None, 3)
+        across.parts = []
+        across.table_sum(g, 8)
+        fakes.append(sent[-1])
+    across = Fake(None, 3)
+    across.parts = fakes
+    assert (across.table_sum(grads[0], 8) == grads[0] + grads[1] + grads[2]).all()
+    assert all(len(x) == 8 * 5 for x in sent)
+
+
 def test_running_variance_holds_the_spread_between_tasks():
     tasks = [{"n/mean": np.array([1.0]), "n/variance": np.array([2.0])}, {"n/mean": np.array([5.0]), "n/variance": np.array([4.0])}]
     sent = [net.squared_spread(t) for t in tasks]
