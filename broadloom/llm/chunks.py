@@ -101,9 +101,11 @@ def chunked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).mapInArrow(run, f"_id {kind}, at bigint, digest bigint")
 
 
-def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reach: int = REACH, least: int = PASSAGE) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reach: int = REACH, least: int = PASSAGE,
+                      within: bool = False) -> DataFrame:
     """(_id, start, stop, n_chunks, first_id, kept, ranges) per passage: a run of chunks in a row that each occur in another
-    document too, at least ``least`` bytes long. Offsets are in bytes of the UTF-8 text.
+    document too, at least ``least`` bytes long. Offsets are in bytes of the UTF-8 text. With ``within`` repeats inside one
+    document count as well; then only the first place of a chunk is kept, not its whole document.
 
     ``ranges``: (start, stop, n_chunks, first_id, kept) of the passage's parts, cut where the first document changes. ``first_id``: the
     smallest id with each chunk of the part; ``kept``: that is this document. Dropping all parts that are not kept leaves every
@@ -117,12 +119,17 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """
     chunks = materialize(chunked(docs, id_column, text_column, reach), "chunks")
     owner = F.coalesce(F.col("_id"), -F.shiftright("at", 40) - 1)
-    seen = chunks.groupBy("digest").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).where("first < last").select("digest", "first")
-    found = chunks.join(seen, "digest").select("_id", F.shiftright("at", 40).alias("mark"), F.expr("shiftright(at, 9) & 2147483647").alias("start"),
-                                               F.expr("at & 511").alias("n"), "first", (F.col("first") == owner).alias("own"))
+    start = F.expr("shiftright(at, 9) & 2147483647")
+    place = F.struct(owner.alias("owner"), (start if within else F.lit(0)).alias("start"))
+    seen = chunks.groupBy("digest").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a < _b") if within else \
+        chunks.groupBy("digest").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).where("first < last")
+    seen = seen.select("digest", F.col("_a.owner").alias("first"), F.col("_a.start").alias("_s")) if within else seen.select("digest", "first")
+    own = (F.col("first") == owner) & (F.col("_s") == start) if within else F.col("first") == owner
+    found = chunks.join(seen, "digest").select("_id", F.shiftright("at", 40).alias("mark"), start.alias("start"),
+                                               F.expr("at & 511").alias("n"), "first", own.alias("own"))
     line = Window.partitionBy("_id", "mark").orderBy("start")
     fresh = F.coalesce(F.lag(F.col("start") + F.col("n")).over(line) < F.col("start"), F.lit(True))
-    turn = fresh | (F.lag("first").over(line) != F.col("first"))
+    turn = fresh | (F.lag("first").over(line) != F.col("first")) | (F.lag("own").over(line) != F.col("own"))
     runs = found.distinct().withColumns({"run": F.sum(fresh.cast("int")).over(line), "part": F.sum(turn.cast("int")).over(line)})
     spans = runs.groupBy("_id", "mark", "run", "part").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("stop"), F.count("*").alias("n_chunks"),

@@ -110,3 +110,23 @@ def test_kept_bytes_hold_every_chunk(spark):
                 left.append(text[a:b])
     assert out and set(left) == every
     assert sum(map(len, left)) < 1.02 * sum(map(len, every))
+
+
+def test_repeats_within_one_document(spark):
+    rng = random.Random(9)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(n))
+
+    passage = prose(45)
+    one = f"{prose(40)} {passage} {prose(30)} {passage} {prose(35)} {passage} {prose(20)}"
+    docs = spark.createDataFrame([(5, one), (6, prose(120)), (7, f"{prose(30)} {passage} {prose(30)}")], "doc_id bigint, text string")
+    alone = docs.where("doc_id < 7")
+    assert chunks.repeated_passages(alone).count() == 0
+    for table, n in ((alone, 3), (docs, 4)):
+        found = sorted(chunks.repeated_passages(table, within=True).collect(), key=lambda r: (r._id, r.start))
+        assert [r._id for r in found] == [5, 5, 5, 7][:n]
+        assert [r.kept for r in found] == [True, False, False, False][:n] and {r.first_id for r in found} == {5}
+        assert all(r.stop - r.start > len(passage) - 90 for r in found)
+    across = sorted((r._id, r.kept) for r in chunks.repeated_passages(docs).collect())
+    assert across == [(5, True), (5, True), (5, True), (7, False)]
