@@ -126,7 +126,8 @@ def judge(urls: DataFrame, model: GBTClassificationModel | None, rates: DataFram
     model the probability is 0. Repeated rows get equal verdicts.
     """
     names = [c for c in urls.columns if c not in ("host", "path", "rule", "probability", "verdict")]
-    rows = with_rates(lexical(urls.select(*names), url_column), rates)
+    kept = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_kept")  # apart from the features, whose names may clash
+    rows = with_rates(lexical(urls.select(kept, F.col(url_column).alias("_url")), "_url"), rates)
     if model is None:
         scored = rows.withColumn("probability", F.lit(0.0))
     else:
@@ -136,4 +137,4 @@ def judge(urls: DataFrame, model: GBTClassificationModel | None, rates: DataFram
         scored = model.transform(vectors).withColumn("probability", vector_to_array("probability")[1])
     rule, verdict = matched_rule(F.col("_host"), F.col("_path"), rules)
     judged = F.coalesce(verdict, F.when(F.col("probability") >= threshold, "block").otherwise("allow"))
-    return scored.select(*names, F.col("_host").alias("host"), F.col("_path").alias("path"), rule.alias("rule"), "probability", judged.alias("verdict"))
+    return scored.select(*[F.col("_kept").getField(c).alias(c) for c in names], F.col("_host").alias("host"), F.col("_path").alias("path"), rule.alias("rule"), "probability", judged.alias("verdict"))

@@ -98,6 +98,17 @@ def test_a_rare_class_is_learned_whatever_the_number_of_other_rows(spark):
         assert judged.where("_bad = 0 AND verdict = 'block'").count() == 0
 
 
+def test_columns_named_like_features_come_back_unchanged(spark):
+    rows = [(i, f"http://site{i % 7}.org/{'a/' * (i % 5)}x{i}", 99.0, "mine", i, "kept", "salt") for i in range(60)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, depth double, features string, hyphens int, _host string, _salt string")
+    model, rates = urls.fit_url_trees(urls.lexical(table.select("page_id", "url")).withColumn("_bad", (F.col("page_id") % 7 == 0).cast("int")), trees=3)
+    plain = urls.judge(table.select("page_id", "url"), model, rates)
+    judged = urls.judge(table, model, rates)
+    assert sorted(map(tuple, judged.select(*table.columns).collect())) == sorted(rows)
+    told = ["page_id", "host", "path", "rule", "probability", "verdict"]
+    assert sorted(map(str, judged.select(*told).collect())) == sorted(map(str, plain.select(*told).collect()))
+
+
 def test_plan_has_no_python(spark):
     plan = QUERIES["op1_url_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
