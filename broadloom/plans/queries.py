@@ -753,7 +753,7 @@ def relu_classify(spark, sf):
     """Relu net with Adam as a job: drop nulls, split, index, assemble, scale, fit in synchronous rounds, score, judge."""
     df = with_gaps(lines(spark, sf)).withColumn("label", returned())
     number = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_id")
-    scored, _ = jobs.relu_job(df, "label", ["l_linestatus"], NUMERIC, LINE_KEYS, number, batch_size=4096, rate=1e-2, tasks=4, sync_every=50)
+    scored, _ = jobs.relu_job(df, "label", ["l_linestatus"], NUMERIC, LINE_KEYS, number, batch_size=16000, rate=1e-2, tasks=4, sync_every=50)
     return metrics.confusion_counts(scored, "label", "prediction").withColumn("n_rows", F.expr("tp + tn + fp + fn"))
 
 
