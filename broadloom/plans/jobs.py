@@ -70,7 +70,11 @@ def relu_job(df: DataFrame, label: str, categorical: Sequence[str], numeric: Seq
     train, test = (d.select(*keys, label, row_id.alias("_id"), vector_to_array("scaled_features").alias("x"))
                    for d in prepared(df, label, categorical, numeric, keys))
     spec = classifier_spec("x", len(categorical) + len(numeric), label, list(hidden))
-    model, log = sync.fit_sync(train, spec, "_id", batch_size, epochs, rate, validation=test, **options)
+    train = train.persist()  # its layout reads it three times
+    try:
+        model, log = sync.fit_sync(train, spec, "_id", batch_size, epochs, rate, validation=test, **options)
+    finally:
+        train.unpersist(blocking=True)
     scored = dense.score_dense(test, model, "probability").withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
     return scored.select(*keys, label, "probability", "prediction"), log
 
