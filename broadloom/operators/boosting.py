@@ -13,7 +13,7 @@ a good size bound the shuffle. Split gain follows Chen & Guestrin (2016):
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -294,7 +294,6 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
         y = F.col(label).cast("double")
         hessian = gradient(y, F.lit(float(base_margin)), class_weight(y, pos_weight), objective)[1]
         edges = weighted_edges(df, features, hessian, max_bins)
-    dim, bins = len(edges), max(len(e) for e in edges) + 1
     y = F.col(label).cast("double")
     rows_in = df if partitions is None else df.repartition(partitions)
     data = materialize(rows_in.select(
@@ -302,6 +301,22 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
         F.lit(float(base_margin)).alias("margin")), "bins")
     if not data.where("label IS NULL OR isnan(label)").isEmpty():
         raise ValueError(f"{label}: null or NaN labels")
+    return grow_trees(data, _histograms, _with_margins, edges, objective, eta, gamma, reg_lambda, min_child_weight, max_depth,
+                      num_round, base_margin, refresh, subtract)
+
+
+def _with_margins(data: DataFrame, trees: list[dict]) -> DataFrame:
+    return data.withColumn("margin", _add_trees("bins", "margin", trees))
+
+
+def grow_trees(data: DataFrame, histograms: Callable[..., DataFrame], with_margins: Callable[..., DataFrame],
+               edges: Sequence[Sequence[float]], objective: str, eta: float, gamma: float, reg_lambda: float,
+               min_child_weight: float, max_depth: int, num_round: int, base_margin: float, refresh: int,
+               subtract: bool) -> BoostModel:
+    """Rounds of boosting over a stored table of binned rows, whatever its layout: ``histograms`` sums the gradients of some
+    nodes over it (as ``_histograms`` does), ``with_margins`` adds finished trees to its margins."""
+    spark = data.sparkSession
+    dim, bins = len(edges), max(len(e) for e in edges) + 1
     per_task = max(1, BLOCK_BYTES // (16 * dim * (bins + 1)))
     rows: list[tuple] = []
     pending: list[dict] = []
@@ -309,7 +324,7 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
     for number in range(num_round):
         if len(pending) == refresh:
             path = scratch_path(spark, "margins")
-            data.withColumn("margin", _add_trees("bins", "margin", pending)).write.parquet(path)
+            with_margins(data, pending).write.parquet(path)
             data = spark.read.schema(data.schema).parquet(path)
             if before is not None:
                 remove_scratch(spark, before)  # one table of margins at a time
@@ -318,7 +333,7 @@ def fit_hist_boost(df: DataFrame, features: str, label: str, objective: str = "b
         for _ in range(max_depth):
             wanted = active if parents is None else lighter
             level = reduce(DataFrame.unionByName, [
-                _histograms(data, pending, tree, wanted[at:at + per_task], dim, bins, objective)
+                histograms(data, pending, tree, wanted[at:at + per_task], dim, bins, objective)
                 for at in range(0, len(wanted), per_task)])
             if parents is not None:
                 level = _with_siblings(parents, level)
