@@ -246,6 +246,10 @@ def boosting() -> None:
         ctes, nodes, _ = _boost(label, options)
         ORACLES[name] = (f"{ctes} SELECT tree, node::INTEGER AS node, feature::INTEGER AS feature, "
                          f"bin::INTEGER AS bin, round(gain, 4) + 0e0 AS gain, {r6('leaf')} AS leaf FROM {nodes}")
+    mostly_zero = ", ".join(f"CASE WHEN l_orderkey % 3 = 0 THEN {c} ELSE 0 END AS {c}" for c in fixed.BOOST_FEATURES[1:])
+    ctes, nodes, _ = _boost(Y, fixed.CLASSIFY, source=f"(SELECT * REPLACE ({mostly_zero}) FROM lineitem)")
+    ORACLES["boost_sparse_rounds"] = (f"{ctes} SELECT tree, node::INTEGER AS node, feature::INTEGER AS feature, "
+                                      f"bin::INTEGER AS bin, round(gain, 4) + 0e0 AS gain, {r6('leaf')} AS leaf FROM {nodes}")
     ctes, nodes, rows = _boost(Y, fixed.CLASSIFY)
     p = "1e0 / (1e0 + exp(-m))"
     ORACLES["boost_score"] = (f"{ctes} SELECT l_orderkey, l_quantity, {r6('m')} AS margin, {r6(p)} AS probability, "

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from broadloom.functions import arrays, metrics
 from broadloom.functions.schedule import piecewise_lr
-from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, sync, trees, treesql
+from broadloom.operators import boosting, dense, features, prepare, report, search, sequences, sparseboost, sync, trees, treesql
 from broadloom.operators import manyboost, quantiles
 from broadloom.operators import network as net
 from broadloom.plans import fixed, jobs
@@ -376,6 +376,14 @@ def boost_sketch_rounds(spark, sf):
     return model.node_table(spark).select("tree", "node", "feature", r6("threshold").alias("threshold"), F.round("gain", 4).alias("gain"), r6("leaf").alias("leaf"))
 
 
+@query
+def boost_sparse_rounds(spark, sf):
+    """Two of three features are zero in two thirds of the rows; stored and summed are the other cells only."""
+    on = F.col("l_orderkey") % 3 == 0
+    rows = boost_rows(spark, sf).withColumn("x", F.transform("x", lambda v, i: F.when(on | (i == 0), v).otherwise(F.lit(0.0))))
+    return node_rows(spark, sparseboost.fit_sparse_boost(rows, "x", "y", edges=fixed.BOOST_EDGES, refresh=2, **fixed.CLASSIFY))
+
+
 @query
 def boost_score_sql(spark, sf):
     """The model as one SQL expression: no Python in the scoring tasks."""
