@@ -1,8 +1,10 @@
 """Main text of a web page by its maximum-scoring run of words and tags.
 
-Elements that never hold content (menus, adverts, forms, comments, scripts) are cut out. In what is left, words score
-positive and tags negative: a tag costs the more, the rarer it stood inside the content of labelled pages. One linear
-scan finds the contiguous run of the highest score; its blocks are the main text.
+Words score positive and tags negative. What a tag costs comes from labelled pages: elements that stand apart from the
+content cost as many words as such elements hold, those around or inside the content next to nothing; (element name,
+class, id) is told apart where the labelled pages know it, else the name alone. A word counts the less, the more the
+element around it costs. One linear scan finds the contiguous run of the highest score; its blocks are the main text.
+Elements that HTML itself reserves for other things than text (menus, forms, scripts) give no words, but cost as others do.
 """
 
 from __future__ import annotations
@@ -32,108 +34,164 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 CONTENT = ("article", "main")
 KNOWN = frozenset("article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure "
                   "figcaption address hr body html details summary fieldset legend center".split()) | INLINE | VOID
+LOOSE = ("html", "body", *CONTENT)
+SHAPES = frozenset("area bar block box button buttons container content form holder icons inner item items link links list panel section slot "
+                   "thread unit widget wrap wrapper".split())
+NEGATED = frozenset("has is no non not with without".split())
+TITLES = frozenset("banner header masthead".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<more>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|</?[a-z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*>", re.I | re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 PART = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
+UNSEEN = -0.1  # score of a tag that no labelled page has
+PRIOR = -50.0  # score of one that no labelled page has, but whose class or id names boilerplate
+APART = -1.0  # from this score on an element is taken out of the content around it
+VOCABULARY = 50_000  # (element, class or id) pairs told apart, the most used ones; the others count by their element
 
-def is_boilerplate(name: str, more: str) -> bool:
-    """True for an element that its name, class, id or role says is not content."""
-    if name in NEVER:
-        return True
-    if not more or name in ("body", "html", *CONTENT):
+
+class Element:
+    """One element of a page. ``keys``: element and class or id; ``named``: its class or id names boilerplate; ``cut``: never text;
+    ``inside``: within <article> or <main>."""
+
+    __slots__ = ("name", "keys", "named", "parent", "inside", "cut")
+
+    def __init__(self, name: str, more: str, parent: int, inside: bool):
+        self.name, self.parent, self.inside = name, parent, inside or name in CONTENT
+        self.keys, self.named, self.cut = [], False, name in NEVER and not (name == "header" and inside)
+        if not more or name in LOOSE:
+            return
+        for m in ATTRIBUTE.finditer(more):
+            key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
+            if key in ("class", "id"):
+                for token in value.split():
+                    self.keys.append(f"{name}.{token.lower()}")
+                    self.named |= is_named(token, inside)
+            elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in ROLES:
+                self.cut = True
+
+
+def is_named(token: str, inside: bool) -> bool:
+    """True for a class or id that ends in a word for boilerplate, or begins with one and goes on with words for shapes only.
+    Inside the content a header is that of the article."""
+    parts = [x.lower() for x in PART.split(token) if x]
+    if not parts or parts[0] in NEGATED or inside and parts[-1] in TITLES:
         return False
-    for m in ATTRIBUTE.finditer(more):
-        key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
-        if key == "role" and value.lower() in ROLES or key in ("class", "id") and not NAMED.isdisjoint(x.lower() for x in PART.split(value)):
-            return True
-        if key == "hidden" and "data-hidden" not in more or key == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
-
-
-def walk(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """(kind, value, in content element, block edge) for what is left of a page: kind ``tag`` (its name), ``text``
-    (decoded), in page order. Elements that stay open end with the one around them."""
-    stack: list[tuple[str, bool, bool]] = []
-    dropped = inside = 0
+    return parts[-1] in NAMED or parts[0] in NAMED and SHAPES.issuperset(parts[1:])
+
+
+def parse(page: str) -> tuple[list[Element], list[tuple[str, str, int, bool]]]:
+    """Elements of a page, parents first, and its tokens in page order: (kind, text, element, block edge), kind ``open``,
+    ``close`` or ``text``. Element 0 is the page. Elements that stay open end with the one around them. Time is linear."""
+    elements, tokens = [Element("html", "", -1, False)], []
+    stack, places = [0], {}  # open elements; for each name the places in the stack where it is open
     at = 0
 
-    def pop_to(name: str) -> None:
-        nonlocal dropped, inside
-        while stack:
-            top, bad, good = stack.pop()
-            dropped -= bad
-            inside -= good
-            if top == name:
+    def end(name: str) -> None:
+        while True:
+            closed = stack.pop()
+            found = elements[closed].name
+            places[found].pop()
+            tokens.append(("close", "", closed, found not in INLINE or elements[closed].cut))
+            if found == name:
                 return
 
+    def last(*names: str) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     for m in TOKEN.finditer(page):
-        if m.start() > at and not dropped:
-            yield "text", markup.unescape(page[at:m.start()]), inside > 0, False
+        if m.start() > at:
+            tokens.append(("text", markup.unescape(page[at:m.start()]), stack[-1], False))
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
-            if m["raw"] and not dropped:
-                yield "tag", "raw", inside > 0, False
             continue
         block = name not in INLINE
         if m["end"]:
-            if any(x[0] == name for x in stack):
-                was = dropped
-                pop_to(name)
-                if not (was or dropped):
-                    yield "tag", name, inside > 0 or name in CONTENT, block
-                elif not dropped:
-                    yield "tag", "cut", inside > 0, True
-            elif not dropped:
-                yield "tag", name, inside > 0, block
+            if places.get(name):
+                end(name)
+            elif block:
+                tokens.append(("text", "", stack[-1], True))
             continue
-        if block:  # a block ends an open paragraph, an item ends the one before
-            names = [x[0] for x in stack]
-            if name == "li" and "li" in names and not {"ul", "ol"} & set(names[len(names) - names[::-1].index("li"):]):
-                pop_to("li")
-            elif "p" in names and not {"td", "th", "button"} & set(names[len(names) - names[::-1].index("p"):]):
-                pop_to("p")
-        bad = is_boilerplate(name, m["more"] or "")
-        if name not in VOID and not (m["more"] or "").rstrip().endswith("/"):
-            stack.append((name, bad, name in CONTENT))
-            dropped += bad
-            inside += name in CONTENT
-        if not dropped:
-            yield "tag", name, inside > 0, block
-        elif bad and dropped == 1:
-            yield "tag", "cut", inside > 0, True
-    if at < len(page) and not dropped:
-        yield "text", markup.unescape(page[at:]), inside > 0, False
+        if name == "li" and last("li") > last("ul", "ol"):
+            end("li")
+        elif block and last("p") > last("td", "th", "button"):  # a block ends an open paragraph
+            end("p")
+        elements.append(Element(name, m["more"] or "", stack[-1], elements[stack[-1]].inside))
+        number = len(elements) - 1
+        tokens.append(("open", "", number, block or elements[number].cut))
+        if name in VOID or (m["more"] or "").rstrip().endswith("/"):
+            if name == "br":
+                tokens.append(("text", " ", stack[-1], False))
+        else:
+            places.setdefault(name, []).append(len(stack))
+            stack.append(number)
+    if at < len(page):
+        tokens.append(("text", markup.unescape(page[at:]), stack[-1], False))
+    return elements, tokens
+
+
+def uses(page: str) -> Iterator[tuple[str, bool, int]]:
+    """(name or key, apart, words) for the elements of a labelled page that hold, or are inside, the content, and for the outermost
+    of those apart from it. Elements named as boilerplate inside the content tell nothing."""
+    elements, tokens = parse(page)
+    words, holds, skip = [0] * len(elements), [e.inside for e in elements], [False] * len(elements)
+    for kind, text, number, _ in tokens:
+        if kind == "text":
+            words[number] += len(text.split())
+    for i in range(len(elements) - 1, 0, -1):
+        up = elements[i].parent
+        words[up] += words[i]
+        holds[up] |= holds[i]
+    for i, e in enumerate(elements[1:], 1):
+        skip[i] = skip[e.parent] or not holds[e.parent] or e.inside and (e.cut or e.named)
+        if not skip[i]:
+            for key in (e.name if e.name in KNOWN or e.name in NEVER else "other", *dict.fromkeys(e.keys)):
+                yield key, not holds[i], words[i]
 
 
 def fit_weights(pages: DataFrame, html_column: str = "html") -> dict[str, float]:
-    """Cost of each tag, from all pages that label their content with an <article> or <main> element.
+    """Score of each element name and of each (name, class or id), from all pages that label their content with an <article> or
+    <main> element.
 
-    The cost is minus the log of the smoothed share of the tag's uses that were inside the content. Only HTML's element
-    names are told apart, so the table has a fixed size. Without labelled pages every tag has the cost of an unseen one.
+    The score is minus the share of uses apart from the content times the words that such uses hold: their mean, four standard
+    deviations and one. Names are HTML's, classes and ids the VOCABULARY most used, so the table has a bounded size. Without
+    labelled pages it is empty. Null and empty pages and repeated rows are counted as they are.
     """
     label = re.compile(r"<(?:article|main)\b", re.I)
+    columns = ["apart", "around", "words", "squares"]
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
         for batch in pieces(batches, "_html"):
             for page in batch.column("_html").to_pylist():
                 if page and label.search(page):
-                    for kind, name, inside, _ in walk(page):
-                        if kind == "tag":
-                            seen.setdefault(name if name in KNOWN else "other", [0, 0])[inside] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[1] for v in seen.values()], pa.int64()),
-                                          pa.array([v[0] for v in seen.values()], pa.int64())], names=["tag", "inside", "outside"])
+                    for key, apart, n in uses(page):
+                        held = seen.setdefault(key, [0, 0, 0, 0])
+                        held[0 if apart else 1] += 1
+                        if apart:
+                            held[2] += n
+                            held[3] += n * n
+                if len(seen) > VOCABULARY:  # what is known so far goes out, memory stays bounded
+                    yield rows_of(seen)
+                    seen = {}
+        yield rows_of(seen)
 
-    rows = pages.select(F.col(html_column).alias("_html")).mapInArrow(count, "tag string, inside bigint, outside bigint")
-    total = rows.groupBy("tag").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()
-    return {r.tag: math.log((r.inside + 2.0) / (r.inside + r.outside + 2.2)) for r in total}
+    def rows_of(seen: dict[str, list[int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array([float(v[i]) for v in seen.values()], pa.float64())
+                                                                                for i in range(4))], names=["key", *columns])
+
+    rows = pages.select(F.col(html_column).alias("_html")).mapInArrow(count, "key string, " + ", ".join(f"{c} double" for c in columns))
+    total = rows.groupBy("key").agg(*(F.sum(c).alias(c) for c in columns)).orderBy(F.desc(F.col("apart") + F.col("around")), "key")
+    out = {}
+    for r in total.limit(VOCABULARY).collect():
+        mean = r.words / max(r.apart, 1.0)
+        spread = math.sqrt(max(0.0, r.squares / max(r.apart, 1.0) - mean * mean))
+        out[r.key] = -(r.apart + 0.01) / (r.apart + r.around + 0.02) * (mean + 4 * spread + 1)
+    return out
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -148,21 +206,40 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def score_of(e: Element, weights: dict[str, float]) -> tuple[float, bool]:
+    """Score of an element's tags, and whether its class or id tells it."""
+    known = [weights[k] for k in e.keys if k in weights]
+    if known:
+        return min(known), True
+    if e.named:
+        return PRIOR, True
+    return weights.get(e.name if e.name in KNOWN or e.name in NEVER else "other", UNSEEN), False
+
+
 def extract(page: str, weights: dict[str, float]) -> str:
-    """Main text: one line a block, white space within a block turned into one space."""
-    unseen = math.log(2.0 / 2.2)
+    """Main text: one line a block, white space within a block turned into one space. Elements inside the content whose class or id
+    tells that they stand apart from it are taken out and cost nothing; on pages that mark no content they are taken out anywhere,
+    at their cost."""
+    elements, tokens = parse(page)
+    marked = any(e.inside for e in elements)
+    tags, share, gone = [0.0], [1.0], [False]  # by element: score of a tag, score of a word, taken out
+    for e in elements[1:]:
+        score, told = score_of(e, weights)
+        tags.append(score)
+        share.append(1.0 if e.name in CONTENT else min(share[e.parent], 1.0 / (1.0 - score)))
+        gone.append(gone[e.parent] or e.cut or told and score <= APART and (e.inside or not marked))
     scores: list[float] = []
     texts: list[tuple[int, str, int]] = []  # token, text, block
     block = 0
-    for kind, value, _, edge in walk(page):
-        if kind == "text":
-            texts.append((len(scores), value, block))
-            scores.append(float(len(value.split())))
+    for kind, value, number, edge in tokens:
+        block += edge
+        if kind != "text":
+            scores.append(0.0 if gone[elements[number].parent] or gone[number] and elements[number].inside else tags[number])
+        elif gone[number]:
+            scores.append(0.0)
         else:
-            block += edge
-            if value == "br":
-                texts.append((len(scores), " ", block))
-            scores.append(0.0 if value in ("cut", "raw") else weights.get(value if value in KNOWN else "other", unseen))
+            texts.append((len(scores), value, block))
+            scores.append(len(value.split()) * share[number])
     first, last = best_run(scores)
     held = {b for i, t, b in texts if first <= i <= last and not t.isspace()}
     lines: dict[int, list[str]] = {}
