@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 from broadloom.llm import licences
 from broadloom.llm.queries import QUERIES
@@ -79,3 +80,49 @@ def test_normalise_as_before():
     for _ in range(5000):
         text = "".join(rng.choices("aB.'\"*/# \n“,-", k=rng.randint(0, 25)))
         assert licences.normalise(text) == " ".join(drop.sub(" ", text.lower().replace('"', " ")).split()).strip(" .!?;:,-")
+
+
+def told(text):
+    return [(f[0], licences.spdx_of(f[0], licences.normalise(text[f[1]:f[2]]))) for f in licences.match_rules(licences.sentence_ids(text))]
+
+
+def test_full_text_at_any_width_behind_any_comment_mark():
+    paragraphs = [" ".join(p.split()) for p in MIT.split("\n\n")]
+    for width in range(20, 121, 10):
+        for mark in ("", "-- ", ";; ", "% ", "REM ", "# ", " * ", "// ", "dnl "):
+            lines = [line for p in paragraphs for line in [*textwrap.wrap(p, width), ""]]
+            assert told("\n".join(mark + line if line else "" for line in lines)) == [("MIT", "MIT")]
+
+
+def test_statements_of_the_catalogue():
+    for text, spdx in {
+        "Licensed under the Apache-2.0 license.": "Apache-2.0", "This project is MIT licensed.": "MIT", "License: MIT": "MIT", "Licensed under GPLv3.": "GPL-3.0",
+        "CC-BY-SA-4.0": "CC-BY-SA-4.0", "Released under the EUPL-1.2.": "EUPL-1.2", "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+        "Licensed under the\nEclipse Public\nLicense 2.0.": "EPL-2.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "This library is licensed under the GNU Lesser General Public License v2.1 or later.": "LGPL-2.1", "Licensed under the zlib licence.": "Zlib",
+    }.items():
+        assert [s for _, s in told(text)] == [spdx]
+        assert [s for _, s in told(f"Before it. {text}\nAfter it.")] == [spdx]
+    assert len(set(licences.ALIASES.values())) > 70
+    for spdx in set(licences.ALIASES.values()):
+        assert licences.statement(f"licensed under the {spdx.lower()} license") == spdx
+    for text in ("Not in the public domain.", "This file is not licensed under the MIT License.", "MIT", "He was released under MIT.", "Boost the licence."):
+        assert told(text) == []
+
+
+def test_spdx_expressions():
+    assert told("SPDX-License-Identifier: MIT OR apache-2.0") == [("SPDX", "MIT OR Apache-2.0")]
+    assert told("x = 1\n// SPDX-License-Identifier: (GPL-2.0-only WITH Other) AND ISC\ny = 2") == [("SPDX", "(GPL-2.0-only WITH other) AND ISC")]
+
+
+def test_query_finds_nothing_else(spark):
+    """Every row of the query stands at one of the given lines."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    lines = {licences.normalise(line) for line in LINES}
+    for r in QUERIES["op5_licences"](spark, SF).collect():
+        assert licences.normalise(texts[r.doc_id][r.start:r.end]) in lines
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "License: MIT", "a", "b", 3)], "doc_id bigint, text string, spdx string, licence string, start int")
+    assert [(r._id, r.licence, r.spdx) for r in licences.scan(docs).collect()] == [(1, "MIT", "MIT")]
