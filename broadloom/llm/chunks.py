@@ -79,26 +79,29 @@ def boundaries(data: bytes, reach: int = REACH) -> np.ndarray:
 
 
 def chunked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reach: int = REACH) -> DataFrame:
-    """(_id, at, digest) per chunk; ``at`` packs a mark of the text (23 bits), the chunk's start (31) and length (9), in
-    bytes of UTF-8. Null and empty texts have none."""
+    """(_id, owner, at, digest) per chunk; ``owner`` is a 64-bit hash of the text for rows without an id, else null; ``at`` packs a
+    mark of the text (23 bits), the chunk's start (31) and length (9), in bytes of UTF-8. Null and empty texts have none."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in pieces(batches, "_text"):
-            rows, places, digests = [], [], []
+            rows, places, digests, owners = [], [], [], []
+            nameless = batch.column("_id").is_null().to_pylist()
             for i, text in enumerate(batch.column("_text").cast(pa.binary()).to_pylist()):
                 if text:
                     stop = boundaries(text, reach)
                     start = np.concatenate(([0], stop[:-1]))
                     places.append((digest(text, 1) & 0x7FFFFF) << 40 | start << 9 | (stop - start))
                     rows.append(np.full(len(stop), i, np.int32))
+                    owners += [digest(text, 2) - (1 << 63) if nameless[i] else None] * len(stop)
                     digests += [digest(text[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
             if rows:
-                yield pa.RecordBatch.from_arrays([batch.column("_id").take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype(np.int64)),
-                                                  pa.array(np.array(digests, np.uint64).view(np.int64))], names=["_id", "at", "digest"])
+                yield pa.RecordBatch.from_arrays([batch.column("_id").take(pa.array(np.concatenate(rows))), pa.array(owners, pa.int64()),
+                                                  pa.array(np.concatenate(places).astype(np.int64)), pa.array(np.array(digests, np.uint64).view(np.int64))],
+                                                 names=["_id", "owner", "at", "digest"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).mapInArrow(run, f"_id {kind}, at bigint, digest bigint")
+    return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).mapInArrow(run, f"_id {kind}, owner bigint, at bigint, digest bigint")
 
 
 def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reach: int = REACH, least: int = PASSAGE,
@@ -110,32 +113,39 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     ``ranges``: (start, stop, n_chunks, first_id, kept) of the passage's parts, cut where the first document changes. ``first_id``: the
     smallest id with each chunk of the part; ``kept``: that is this document. Dropping all parts that are not kept leaves every
     chunk once. Of a whole passage ``first_id`` is that of its first part and ``kept`` tells that all are kept; a passage that is
-    not kept may hold text that stands first here, so passages are not dropped as a whole. Digests have 64 bits: a passage holds several chunks, so that one chance
-    agreement makes none. Rows of one id are one document, those without an id are told apart by their text. Null and
-    empty texts have no passage.
+    not kept may hold text that stands first here, so passages are not dropped as a whole. Digests have 64 bits and are not verified: among
+    n different chunks some n * n / 2 ** 65 pairs agree by chance, and one chunk of ``least`` bytes is a passage. Rows of one id, a
+    number or a string, are one document; those without an id are told apart by a 64-bit hash of their text, come behind all ids
+    and have no ``first_id``. Null and empty texts have no passage.
 
     Counting is pre-aggregated by digest. In the join back one side has a row a digest, and Spark splits a digest with very
     many occurrences on the other.
     """
     chunks = materialize(chunked(docs, id_column, text_column, reach), "chunks")
-    owner = F.coalesce(F.col("_id"), -F.shiftright("at", 40) - 1)
     start = F.expr("shiftright(at, 9) & 2147483647")
-    place = F.struct(owner.alias("owner"), (start if within else F.lit(0)).alias("start"))
-    seen = chunks.groupBy("digest").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a < _b") if within else \
-        chunks.groupBy("digest").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).where("first < last")
-    seen = seen.select("digest", F.col("_a.owner").alias("first"), F.col("_a.start").alias("_s")) if within else seen.select("digest", "first")
-    own = (F.col("first") == owner) & (F.col("_s") == start) if within else F.col("first") == owner
-    found = chunks.join(seen, "digest").select("_id", F.shiftright("at", 40).alias("mark"), start.alias("start"),
-                                               F.expr("at & 511").alias("n"), "first", own.alias("own"))
-    line = Window.partitionBy("_id", "mark").orderBy("start")
+    chunk = chunks.groupBy("digest")
+    if within:
+        place = F.struct(F.col("_id").isNull().alias("nameless"), "_id", "owner", start.alias("start"))
+        seen = chunk.agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a < _b").select(
+            "digest", F.col("_a._id").alias("first"), F.col("_a.owner").alias("_o"), F.col("_a.start").alias("_s"))
+    else:  # plain numbers, so that Spark aggregates by hash
+        several = "first < last OR _o < _p OR first IS NOT NULL AND _o IS NOT NULL"
+        seen = chunk.agg(F.min("_id").alias("first"), F.max("_id").alias("last"), F.min("owner").alias("_o"), F.max("owner").alias("_p")).where(several) \
+            .select("digest", "first", F.when(F.col("first").isNull(), F.col("_o")).alias("_o"))
+    own = F.col("first").eqNullSafe(F.col("_id")) & F.col("_o").eqNullSafe(F.col("owner"))
+    own = own & (F.col("_s") == start) if within else own
+    found = chunks.join(seen, "digest").select("_id", "owner", F.shiftright("at", 40).alias("mark"), start.alias("start"),
+                                               F.expr("at & 511").alias("n"), "first", "_o", own.alias("own"))
+    line = Window.partitionBy("_id", "owner", "mark").orderBy("start")
     fresh = F.coalesce(F.lag(F.col("start") + F.col("n")).over(line) < F.col("start"), F.lit(True))
-    turn = fresh | (F.lag("first").over(line) != F.col("first")) | (F.lag("own").over(line) != F.col("own"))
+    changed = [~F.lag(c).over(line).eqNullSafe(F.col(c)) for c in ("first", "_o", "own")]
+    turn = fresh | changed[0] | changed[1] | changed[2]
     runs = found.distinct().withColumns({"run": F.sum(fresh.cast("int")).over(line), "part": F.sum(turn.cast("int")).over(line)})
-    spans = runs.groupBy("_id", "mark", "run", "part").agg(
+    spans = runs.groupBy("_id", "owner", "mark", "run", "part").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("stop"), F.count("*").alias("n_chunks"),
         F.first("first").alias("first_id"), F.first("own").alias("kept"))
     parts = F.array_sort(F.collect_list(F.struct("start", "stop", "n_chunks", "first_id", "kept")))
-    whole = spans.groupBy("_id", "mark", "run").agg(
+    whole = spans.groupBy("_id", "owner", "mark", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n_chunks").alias("n_chunks"),
         F.min_by("first_id", "start").alias("first_id"), F.min("kept").alias("kept"), parts.alias("ranges"))
     return whole.where(F.col("stop") - F.col("start") >= least).select("_id", "start", "stop", "n_chunks", "first_id", "kept", "ranges")

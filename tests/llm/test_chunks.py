@@ -130,3 +130,21 @@ def test_repeats_within_one_document(spark):
         assert all(r.stop - r.start > len(passage) - 90 for r in found)
     across = sorted((r._id, r.kept) for r in chunks.repeated_passages(docs).collect())
     assert across == [(5, True), (5, True), (5, True), (7, False)]
+
+
+def test_rows_without_an_id_and_string_ids(spark):
+    """Thousands of rows without an id share a passage two by two: each pair is found, beside real negative ids."""
+    rng = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+
+    shared = [words(60) for _ in range(1500)]
+    rows = [(None, f"{words(30)} {p} {words(30)}") for p in shared for _ in range(2)] + [(-5, shared[0] + words(5)), (-6, words(200))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = chunks.repeated_passages(docs).collect()
+    assert len(got) == 3001 and {r._id for r in got} == {None, -5}
+    assert sum(r.first_id == -5 for r in got) == 3 and sum(r.kept for r in got) == 1500
+    assert sum(r.stop - r.start > 300 for r in got) > 2900
+    names = docs.limit(0).unionByName(docs).selectExpr("CASE WHEN doc_id IS NULL THEN 'n' || hash(text) ELSE 'm' || doc_id END AS doc_id", "text")
+    assert chunks.repeated_passages(names).count() == 3001
