@@ -17,6 +17,8 @@ SEARCH = {"eta": 0.5, "min_child_weight": 3.0}
 TRIALS = {"gamma": 0.1, "reg_lambda": 1.0, "min_child_weight": 30.0, "pos_weight": 1.0}
 TRIAL_ROUNDS, TRIAL_DEPTHS, TRIAL_RATES = [1, 3], [1, 2], [0.3, 0.9]
 HISTORY = 64
+WIDE_HISTORY = 200
+WIDE_EMBEDDINGS = {"kind": (6, 4), "hour": (25, 8), "weekday": (8, 8), "day": (32, 16), "minute": (61, 32), "slot": (500, 600)}  # rows, width
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 

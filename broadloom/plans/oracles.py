@@ -181,6 +181,28 @@ def sequence_tables() -> None:
         + " FROM steps GROUP BY user_id")
 
 
+def wide_sequences() -> None:
+    n = fixed.WIDE_HISTORY
+    ids = {"kind": "list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type)", "hour": "hour(ts) + 1", "weekday": "dayofweek(ts) + 1",
+           "day": "day(ts)", "minute": "minute(ts) + 1", "slot": "event_id % 499 + 1"}
+    steps = f"""
+        recent AS (SELECT user_id, value, {", ".join(f"{e} AS {c}" for c, e in ids.items())},
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS back FROM events),
+        kept AS (SELECT * FROM recent WHERE back <= {n}),
+        steps AS MATERIALIZED (SELECT user_id, coalesce(value, 0) AS value, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in ids)}
+                  FROM (SELECT DISTINCT user_id FROM kept) u CROSS JOIN range({n}) t(step)
+                  LEFT JOIN kept k USING (user_id) WHERE k.back = {n} - t.step
+                  UNION ALL SELECT user_id, 0, 0, 0, 0, 0, 0, 0 FROM (SELECT user_id, count(*) AS c FROM kept GROUP BY user_id), range({n}) p(i) WHERE i >= c)"""
+    parts, first = [], 0
+    for c, (_, width) in fixed.WIDE_EMBEDDINGS.items():
+        parts.append(f"SELECT user_id, i + {first} AS position, (({c} * 5 + 3 * i) % 7 - 3) / 4e0 AS v, many FROM "
+                     f"(SELECT user_id, {c}, count(*) AS many FROM steps GROUP BY ALL), range({width}) w(i)")
+        first += width
+    parts.append(f"SELECT user_id, {first}, value, 1 FROM steps")
+    ORACLES["sequence_embed_wide"] = (f"WITH {steps} SELECT user_id, position::INTEGER AS position, {r9('max(v)')} AS most, {r9('sum(v * many) / sum(many)')} AS mean "
+                                      f"FROM ({' UNION ALL '.join(parts)}) GROUP BY user_id, position")
+
+
 def _pick(hist: str, lam: float, gamma: float, least: float, only: str = "") -> str:
     """Best split per node of a histogram (node, feature, bin, g, h)."""
     run = "OVER (PARTITION BY node, feature ORDER BY bin)"
@@ -526,5 +548,5 @@ def reports() -> None:
                                f"AS value FROM {plan} WHERE batch % 10 = 0 GROUP BY batch")
 
 
-for _part in (generators, tables, feature_tables, sequence_tables, boosting, training, steps, scores, networks, reports):
+for _part in (generators, tables, feature_tables, sequence_tables, wide_sequences, boosting, training, steps, scores, networks, reports):
     _part()

@@ -326,6 +326,22 @@ def sequence_embed_pool(spark, sf):
     return sequences.pool_steps(step_rows(spark, sf), "user_id").select("user_id", *items("pooled", 16, fn=r9))
 
 
+@query
+def sequence_embed_wide(spark, sf):
+    """Six categorical sequences of 200 steps, embedded up to 600 wide and pooled; one row per user and place of the vector."""
+    events = load_table(spark, sf, "events").select(
+        "user_id", "ts", "event_id", "value", event_types().alias("kind"), (F.hour("ts") + 1).alias("hour"), F.dayofweek("ts").alias("weekday"),
+        F.dayofmonth("ts").alias("day"), (F.minute("ts") + 1).alias("minute"), (F.col("event_id") % 499 + 1).alias("slot"))
+    steps = sequences.sequence_pad(events, "user_id", ["ts", "event_id"], ["value", *fixed.WIDE_EMBEDDINGS], fixed.WIDE_HISTORY)
+    tables = {c: spark.range(rows).select("id", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: ((F.col("id") * 5 + i * 3) % 7 - 3) / F.lit(4.0))
+                                          .alias("vector")) for c, (rows, width) in fixed.WIDE_EMBEDDINGS.items()}
+    pooled = sequences.pool_steps(sequences.sequence_embed(steps, "user_id", tables, ["value"]), "user_id")
+    width = sum(w for _, w in fixed.WIDE_EMBEDDINGS.values()) + 1
+    halves = F.arrays_zip(F.slice("pooled", 1, width).alias("most"), F.slice("pooled", width + 1, width).alias("mean"))
+    return pooled.select("user_id", F.posexplode(halves).alias("position", "_p")).select(
+        "user_id", "position", r9("_p.most").alias("most"), r9("_p.mean").alias("mean"))
+
+
 # --- learners: tables and steps -----------------------------------------------------------------
 
 
