@@ -117,7 +117,7 @@ def with_follower(docs: DataFrame, id_column: str, text_column: str, blocks: int
     """(_block, _ghost, _id, _text), each block sorted by id: a block's last row is the first row of the block behind it
     (marked _ghost), that of the last block the first row of all. Null ids come first, equal ids in order of their text.
 
-    Cuts only balance the blocks. The driver sees one id a block.
+    Cuts only balance the blocks, each of which is a task of its own. The driver sees one id a block.
     """
     count = blocks or max(1, docs.rdd.getNumPartitions())
     base = docs.select(F.col(id_column).cast("bigint").alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
@@ -136,7 +136,7 @@ def with_follower(docs: DataFrame, id_column: str, text_column: str, blocks: int
     both = F.array(F.struct(F.col("_block").alias("_block"), F.lit(False).alias("_ghost")), F.struct(F.col("_before").alias("_block"), F.lit(True).alias("_ghost")))
     own = F.array(F.struct(F.col("_block").alias("_block"), F.lit(False).alias("_ghost")))
     spread = tagged.select(F.explode(F.when(F.col("_before").isNull(), own).otherwise(both)).alias("x"), "_id", "_text").select("x.*", "_id", "_text")
-    return spread.repartition(count, "_block").sortWithinPartitions("_block", "_ghost", F.col("_id").asc_nulls_first(), "_text")
+    return spread.repartitionById(count, F.col("_block")).sortWithinPartitions("_block", "_ghost", F.col("_id").asc_nulls_first(), "_text")
 
 
 def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = SIZE,
