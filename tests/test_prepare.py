@@ -229,3 +229,13 @@ def test_prepared_by_join_equals_prepared_by_list(spark):
     unseen = df.withColumn("c", F.when(F.col("id") % 100 == 7, F.concat(F.lit("new"), "id")).otherwise(F.col("c")))
     with pytest.raises(Exception):
         [d.collect() for d in jobs.prepared(unseen, "y", ["c"], ["v"], ["id"], join_index=True)]
+
+
+def test_spread_follows_the_rows_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(prepare, "SPREAD_ROWS", 100)
+    table = spark.range(0, 5050, 1, 1)
+    moved = prepare.spread(table)
+    assert moved.rdd.getNumPartitions() == max(51, spark.sparkContext.defaultParallelism)
+    assert max(len(p) for p in moved.rdd.glom().collect()) <= 200
+    assert sorted(r.id for r in moved.collect()) == list(range(5050))
+    assert prepare.spread(moved.limit(50).repartition(64)).rdd.getNumPartitions() == 64
