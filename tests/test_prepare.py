@@ -239,3 +239,15 @@ def test_spread_follows_the_rows_of_the_table(spark, monkeypatch):
     assert max(len(p) for p in moved.rdd.glom().collect()) <= 200
     assert sorted(r.id for r in moved.collect()) == list(range(5050))
     assert prepare.spread(moved.limit(50).repartition(64)).rdd.getNumPartitions() == 64
+
+
+def test_cells_are_made_in_batches_and_follow_the_formula(spark, monkeypatch):
+    from broadloom.functions.mixing import CELL_STEP, PRIME, mix_int
+
+    monkeypatch.setattr(generate, "BATCH_CELLS", 50)
+    rows = generate.gen_sequence_vectors(spark.range(0, 30, 1, 1), 4, seed=3).orderBy("id").collect()
+    assert len(rows) == 30
+    for r in rows:
+        for i, c in enumerate(generate.SEQUENCE_COLUMNS):
+            cells = [((mix_int(r.id, 3) + j * CELL_STEP) % PRIME) ** 2 % PRIME for j in range(i * 4, i * 4 + 4)]
+            assert r[c] == [v % 1000000 / 1e6 for v in cells]
