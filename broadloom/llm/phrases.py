@@ -26,18 +26,30 @@ _STATE: dict = {}
 
 
 def parse(text: str, seen: set[str], start: int = 0) -> list[int]:
-    """Ends of the phrases from ``start`` on; ``seen`` gets them. A last phrase that is known already adds nothing."""
-    ends, i, n, add = [], start, len(text), seen.add
+    """Ends of the phrases from ``start`` on; ``seen`` gets them. A last phrase that is known already adds nothing.
+
+    All beginnings of a phrase are phrases too, so the search for the first unknown one may start anywhere: it starts at the
+    length of the phrase before, which is near."""
+    ends, i, n, size, add = [], start, len(text), 1, seen.add
     while i < n:
-        j = i + 1
+        j = min(i + size, n)
         phrase = text[i:j]
-        while phrase in seen:
-            if j == n:
-                return ends
-            j += 1
-            phrase = text[i:j]
+        if phrase in seen:
+            while phrase in seen:
+                if j == n:
+                    return ends
+                j += 1
+                phrase = text[i:j]
+        else:
+            while j > i + 1:
+                shorter = text[i:j - 1]
+                if shorter in seen:
+                    break
+                phrase = shorter
+                j -= 1
         add(phrase)
         ends.append(j)
+        size = j - i
         i = j
     return ends
 
@@ -71,6 +83,10 @@ def phrase_hashes(text: str, ends: list[int]) -> np.ndarray:
 
 def signature(hashes: np.ndarray, size: int = SIZE) -> np.ndarray:
     """The ``size`` smallest different hashes, ascending; fewer if the set is smaller."""
+    if len(hashes) > 4 * size:  # mostly different: the smallest 2 * size of them will do
+        found = np.unique(np.partition(hashes, 2 * size)[:2 * size])
+        if len(found) >= size:
+            return found[:size]
     return np.unique(hashes)[:size]
 
 
@@ -82,8 +98,9 @@ def similarity(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
     """Estimated Jaccard similarity of two phrase sets, exact if both are no larger than ``size``. Empty sets are equal."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)[:size]
-    return float(np.isin(union, np.intersect1d(a, b, assume_unique=True), assume_unique=True).sum() / len(union))
+    one, other = set(a.tolist()), set(b.tolist())
+    union = sorted(one | other)[:size]
+    return len((one & other).intersection(union)) / len(union)
 
 
 def shown(values: np.ndarray) -> str:
@@ -95,7 +112,10 @@ class Parsed:
 
     def __init__(self, text: str, size: int = SIZE):
         self.text = text
-        self.ends = parse(text, set())
+        seen: set[str] = set()
+        ends = parse(text[:len(text) - len(text) // 2], seen)  # phrases that end before the change
+        self.shared, self._seen = len(ends), frozenset(seen)
+        self.ends = ends + parse(text, seen, ends[-1] if ends else 0)
         self.hashes = phrase_hashes(text, self.ends)
         self.print = signature(self.hashes, size)
 
@@ -105,12 +125,9 @@ class Parsed:
         text, half = self.text, len(self.text) // 2
         keep = len(text) - half
         edited = text[:keep] + follower[:half]
-        shared = int(np.searchsorted(np.asarray(self.ends, np.int64), keep, "right"))
-        ends = self.ends[:shared]
-        seen = {text[s:e] for s, e in zip([0, *ends], ends)}
-        first = ends[-1] if ends else 0
-        more = phrase_hashes(edited[first:], [e - first for e in parse(edited, seen, first)])
-        return edited, signature(np.concatenate((self.hashes[:shared], more)), size)
+        first = self.ends[self.shared - 1] if self.shared else 0
+        more = phrase_hashes(edited[first:], [e - first for e in parse(edited, set(self._seen), first)])
+        return edited, signature(np.concatenate((self.hashes[:self.shared], more)), size)
 
 
 def with_follower(docs: DataFrame, id_column: str, text_column: str, blocks: int | None = None) -> DataFrame:

@@ -76,3 +76,17 @@ def test_odd_rows(spark, blocks):
     assert phrases.edited_fingerprints(docs.limit(0), blocks=blocks).count() == 0
     one = phrases.edited_fingerprints(docs.where("doc_id = 10"), blocks=blocks).first()
     assert one.near_next == 1.0
+
+
+def test_the_first_unknown_phrase_is_found_in_few_lookups():
+    class Counted(set):
+        asked = 0
+
+        def __contains__(self, phrase):
+            self.asked += 1
+            return super().__contains__(phrase)
+
+    seen, text = Counted(), "ab" * 5000
+    ends = phrases.parse(text, seen)
+    assert seen.asked <= 4 * len(ends)
+    assert {text[a:b] for a, b in zip([0, *ends], ends)} == set(seen) and len(seen) == len(ends)
