@@ -37,6 +37,8 @@ GENERALISE = 0.7
 TERM = re.compile(r"[^\W\d_]{3,}")
 #: Terms that a task counts before it sends them.
 HELD = 200000
+#: Bytes of text that a task holds decoded at a time, as each may carry places of all its terms.
+PIECE = 1 << 20
 
 
 def luhn(digits: str) -> bool:
@@ -103,7 +105,7 @@ def find_base(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", PIECE):
             spans, entities, places = [], [], []
             for text in batch.column("_text").to_pylist():
                 found = base_spans(text) if text else []

@@ -132,3 +132,14 @@ def test_terms_against_plain_counts(spark):
                 want.add((i, "term" if top >= disclosure.REMOVE else "near", m.start()))
     got = {x for x in marked(spark.createDataFrame(rows, "doc_id bigint, text string")) if x[1] != "email"}
     assert want and got == want
+
+
+def test_base_spans_do_not_depend_on_the_bytes_decoded_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"write to user{i % 7}@mail.example.org about parcel {i}") for i in range(60)], "doc_id long, text string").coalesce(1)
+
+    def found():
+        return sorted((r._id, r.spans, sorted((w.term, w["at"]) for w in r.words)) for r in disclosure.find_base(docs).collect())
+
+    whole = found()
+    monkeypatch.setattr(disclosure, "PIECE", 100)
+    assert found() == whole and len(whole) == 60
