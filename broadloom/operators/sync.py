@@ -4,6 +4,8 @@ A row's place in key order fixes its batch, so the steps are those of one task o
 tasks: every task sums the gradients of its part of the batch, the parts are gathered chunk by chunk and added in the same
 order everywhere, and each task takes the same step; of an embedding table only the rows that a part looks up are sent. Batch normalisation uses the moments of the whole batch, dropout a
 hash of (row, unit, step). With ``sync_every`` = k > 1 tasks take k steps of their own and then average (local SGD: Stich 2019).
+The k steps of all tasks are one small job then, on the partitions that hold their rows, and the driver averages what the tasks
+return; a net of more than ROUND_BYTES is averaged by gathers instead.
 
 Each gather sends the gradients of all tasks to each task, through the barrier coordinator, and takes a second at least, as
 waiting tasks look for its end once a second; each normalised layer takes two more. So ``sync_every`` = 1 is for steps of
@@ -11,18 +13,19 @@ seconds of work, else take more: 10 to 100 steps between averages. What a task h
 and counters.
 
 Metrics are counted where the rows are: losses, confusion counts, score histograms, errors. Tasks emit these counters for every
-``log_every`` steps and the epoch's aggregate adds them. If an executor is lost, Spark repeats the epoch from its start; a fit
-that ends half-way is taken up after its last saved epoch.
+``log_every`` steps and the epoch's aggregate adds them. If an executor is lost, Spark repeats the epoch from its start, or the
+job of its k steps; a fit that ends half-way is taken up after its last saved epoch.
 """
 
 from __future__ import annotations
 
 import base64
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import BarrierTaskContext, StorageLevel
+from pyspark import RDD, BarrierTaskContext, StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -35,6 +38,11 @@ from broadloom.operators.prepare import with_running_totals
 from broadloom.session import versions
 
 BINS = 200  # of the score histogram behind the area under the curve
+#: Bytes of parameters and moments up to which they go with a job of some steps and come back to the driver from each task.
+ROUND_BYTES = 1 << 20
+#: Rows that a partition of such jobs should hold at least: those of one job, or of several in a row.
+ROUND_ROWS = 100000
+NOT_FINITE = "loss is not finite: null or NaN in the rows, or a rate too high"
 PART_SCHEMA = "name string, chunk int, values array<double>"
 
 
@@ -197,35 +205,79 @@ class RowRandom:
             return (x ^ x >> np.uint64(31)).astype(np.float64) / 2.0 ** 64
 
 
-def _steps(batches: Iterator[pa.RecordBatch], widths: dict[str, int], steps: int) -> Iterator[dict[str, np.ndarray]]:
-    """This task's part of every batch of the epoch in turn; a batch without a row here gives empty arrays."""
-    held: list[dict] = []
-    empty: dict[str, np.ndarray] = {}
-    at = 0
-
-    def joined() -> dict[str, np.ndarray]:
-        if not held:
-            return empty
-        return {n: np.concatenate([h[n] for h in held]) for n in held[0]}
-
+def _cuts(batches: Iterator[pa.RecordBatch], widths: dict[str, int]) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """Rows of one step that came in one Arrow batch, with the step."""
     for batch in batches:
         if not batch.num_rows:
             continue
         new = {n: _matrix(batch.column(i), n, widths.get(n)) for i, n in enumerate(batch.schema.names) if not n.startswith("_")}
         new["_row"] = batch.column("_row").to_numpy(zero_copy_only=False)
         step = batch.column("_step").to_numpy(zero_copy_only=False)
-        empty = empty or {n: v[:0] for n, v in new.items()}
         cuts = [0, *(np.flatnonzero(step[1:] != step[:-1]) + 1).tolist(), len(step)]
         for a, b in zip(cuts, cuts[1:]):
-            while at < step[a]:
-                yield joined()
-                held, at = [], at + 1
-            held.append({n: v[a:b] for n, v in new.items()})
-    while at < steps:
+            yield int(step[a]), {n: v[a:b] for n, v in new.items()}
+
+
+def _steps(cuts: Iterator[tuple[int, dict[str, np.ndarray]]], first: int, end: int) -> Iterator[dict[str, np.ndarray]]:
+    """This task's part of every batch of steps ``first`` to ``end`` in turn; a batch without a row here gives empty arrays."""
+    held: list[dict] = []
+    empty: dict[str, np.ndarray] = {}
+    at = first
+
+    def joined() -> dict[str, np.ndarray]:
+        if not held:
+            return empty
+        return held[0] if len(held) == 1 else {n: np.concatenate([h[n] for h in held]) for n in held[0]}
+
+    for step, new in cuts:
+        empty = empty or {n: v[:0] for n, v in new.items()}
+        while at < step:
+            yield joined()
+            held, at = [], at + 1
+        held.append(new)
+    while at < end:
         yield joined()
         held, at = [], at + 1
 
 
+def _local_step(spec: DenseSpec, state: tuple[dict, dict, dict], part: dict[str, np.ndarray], step: int, full: float, rate: Callable[[int], float],
+                seed: int, seen: Callable) -> None:
+    """One step of a task of its own; a part of fewer rows than ``full`` weighs as many as it has."""
+    p, m, v = state
+    x, y = {n: part[n] for n in spec.inputs}, {h.label: part[h.label] for h in spec.heads}
+    _, grads, stats = net.backward(spec, p, x, y, RowRandom(part["_row"], seed, step, 1), None, seen)
+    net.adam(p, {n: g * min(1.0, len(part["_row"]) / full) for n, g in grads.items()}, m, v, step, rate(step))
+    p.update(stats)
+
+
+def _round(spec: DenseSpec, start: tuple[dict, dict, dict], tasks: int, size: int, before: int, first: int, end: int, marks: Sequence[int],
+           rate: Callable[[int], float], seed: int):
+    """Steps ``first`` to ``end`` of an epoch that ``before`` steps came before, on one task's rows: their number, the task's parameters
+    and moments, and counters by (mark, head)."""
+
+    def run(cuts: Iterator[tuple[int, dict[str, np.ndarray]]]) -> Iterator[tuple]:
+        p, m, v = ({n: a.copy() for n, a in d.items()} for d in start)
+        counts: dict[tuple[int, int], np.ndarray] = {}
+        since, mark = 0, 0
+
+        def seen(h: Head, out: np.ndarray, y: np.ndarray, loss: float) -> None:
+            key = (mark, spec.heads.index(h))
+            counts[key] = counts.get(key, 0.0) + head_counts(head_kind(spec, h), out, y, loss)
+
+        mine = ((step, part) for step, part in cuts if first <= step < end)
+        for at, part in enumerate(_steps(mine, first, end), first):
+            rows = len(part["_row"]) if part else 0
+            if rows:
+                mark, since = marks[at - first], since + rows
+                _local_step(spec, (p, m, v), part, before + at + 1, size / tasks, rate, seed, seen)
+        for c in counts.values():
+            if not np.isfinite(c).all():
+                raise ValueError(NOT_FINITE)
+        yield since, (net.squared_spread(p), m, v), counts
+
+    return run
+
+
 def _epoch(spec: DenseSpec, shared, tasks: int, rows: int, size: int, first: int, rate: Callable[[int], float], seed: int, sync_every: int, log_every: int):
     names, labels = list(spec.inputs), list(dict.fromkeys(h.label for h in spec.heads))
     steps = -(-rows // size)
@@ -253,15 +305,15 @@ def _epoch(spec: DenseSpec, shared, tasks: int, rows: int, size: int, first: int
             m.update(zip(order, found[k:2 * k]))
             v.update(zip(order, found[2 * k:]))
 
-        for at, part in enumerate(_steps(batches, spec.inputs, steps)):
+        for at, part in enumerate(_steps(_cuts(batches, spec.inputs), 0, steps)):
             step = first + at + 1
             count = min(size, rows - at * size)
             mine = len(part["_row"]) if part else 0
             if not part:  # a task without a row in this epoch
                 part = {n: np.empty((0, max(spec.inputs.get(n, 1), 1))) for n in dict.fromkeys([*names, *labels])} | {"_row": np.empty(0)}
-            random = RowRandom(part["_row"], seed, step, 1)
-            x, y = {n: part[n] for n in names}, {n: part[n] for n in labels}
             if sync_every == 1:
+                random = RowRandom(part["_row"], seed, step, 1)
+                x, y = {n: part[n] for n in names}, {n: part[n] for n in labels}
                 across.rows = count
                 _, grads, stats = net.backward(spec, p, x, y, random, across, seen)
                 grads = {n: grads[n] * (count / size) if n in grads else np.zeros_like(p[n]) for n in [*moved, *tables]}
@@ -270,10 +322,7 @@ def _epoch(spec: DenseSpec, shared, tasks: int, rows: int, size: int, first: int
                 net.adam(p, total, m, v, step, rate(step))
                 p.update(stats)
             elif mine:
-                _, grads, stats = net.backward(spec, p, x, y, random, None, seen)
-                full = size / tasks
-                net.adam(p, {n: g * min(1.0, mine / full) for n, g in grads.items()}, m, v, step, rate(step))
-                p.update(stats)
+                _local_step(spec, (p, m, v), part, step, size / tasks, rate, seed, seen)
             since += mine
             last = at + 1 == steps
             if sync_every > 1 and ((at + 1) % sync_every == 0 or last):
@@ -282,7 +331,7 @@ def _epoch(spec: DenseSpec, shared, tasks: int, rows: int, size: int, first: int
             if (at + 1) % log_every == 0 or last:
                 for i, c in counts.items():
                     if not np.isfinite(c).all():
-                        raise ValueError("loss is not finite: null or NaN in the rows, or a rate too high")
+                        raise ValueError(NOT_FINITE)
                     yield from _emit(f"log:{at + 1}:{i}", c)
                 counts.clear()
         if context.partitionId() == 0:
@@ -296,12 +345,47 @@ def _epoch(spec: DenseSpec, shared, tasks: int, rows: int, size: int, first: int
 # --- fit ----------------------------------------------------------------------------------------
 
 
-def laid_out(df: DataFrame, columns: Sequence[str], key: str, batch_size: int, tasks: int) -> DataFrame:
-    """Rows with ``_row`` (place in key order) and ``_step`` (batch of an epoch), place modulo ``tasks`` in each partition, in order."""
+def laid_out(df: DataFrame, columns: Sequence[str], key: str, batch_size: int, tasks: int, steps: int | None = None, ranges: int = 1) -> DataFrame:
+    """Rows with ``_row`` (place in key order) and ``_step`` (batch of an epoch), place modulo ``tasks`` in each partition, in order.
+    With ``steps``, so many steps of a task are a partition: those of the ``ranges`` ranges of steps come one after the other."""
     taken = df.select(F.col(key).alias("_key"), *_columns(df, columns))
     placed = with_running_totals(taken, "_key", {"_n": F.lit(1).cast("bigint")})
     numbered = placed.select(*columns, (F.col("_n") - 1).alias("_row"), F.expr(f"(_n - 1) div {int(batch_size)}").alias("_step"))
-    return numbered.repartitionById(tasks, F.pmod(F.col("_row"), F.lit(tasks)).cast("int")).sortWithinPartitions("_row")
+    place = F.pmod(F.col("_row"), F.lit(tasks))
+    if steps is not None:
+        place = place + F.expr(f"_step div {int(steps)}") * tasks
+    return numbered.repartitionById(tasks * ranges, place.cast("int")).sortWithinPartitions("_row")
+
+
+def _stored_cuts(laid: DataFrame, widths: dict[str, int]) -> RDD:
+    """(step, arrays) of the rows of ``laid``, partition by partition, as ``_cuts`` gives them."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cut in _cuts(batches, widths):
+            yield pa.RecordBatch.from_pydict({"cut": pa.array([pickle.dumps(cut, 5)], pa.binary())})
+
+    return laid.mapInArrow(packed, "cut binary").rdd.map(lambda r: pickle.loads(r.cut))
+
+
+def _epoch_of_rounds(cuts: RDD, state: TrainState, tasks: int, rows: int, size: int, first: int, rate: Callable[[int], float], seed: int,
+                     sync_every: int, log_every: int, steps_held: int) -> dict[str, np.ndarray]:
+    """An epoch as one job every ``sync_every`` steps, each on the partitions of its steps only. Gives what tasks emit in a barrier
+    stage, added; parameters and moments of all tasks are averaged by rows in the order of the tasks."""
+    spec, steps = state.model.spec, -(-rows // size)
+    now, found = (state.model.params, state.m, state.v), {}
+    for a in range(0, steps, sync_every):
+        b = min(a + sync_every, steps)
+        marks = [min(-(-(at + 1) // log_every) * log_every, steps) for at in range(a, b)]
+        job = _round(spec, now, tasks, size, first, a, b, marks, rate, seed)
+        at = a // steps_held * tasks
+        told = cuts.context.runJob(cuts, job, list(range(at, at + tasks)))  # one a task, of bounded size
+        weight = max(float(sum(t[0] for t in told)), 1.0)
+        p, m, v = ({n: np.add.reduce([t[1][k][n] * t[0] for t in told]) / weight for n in d} for k, d in enumerate(now))
+        now = (net.spread(p), m, v)
+        for t in told:
+            for (mark, i), c in t[2].items():
+                found[f"log:{mark}:{i}"] = found.get(f"log:{mark}:{i}", 0.0) + c
+    return found | {f"{k}:{n}": x for k, d in zip("pmv", now) for n, x in d.items()}
 
 
 def fit_sync(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, epochs: int = 1, rate: float | Callable[[int], float] = 1e-3,
@@ -328,8 +412,17 @@ def fit_sync(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, epo
         state = load_state(spark, path)
         if state.model.spec != spec:
             raise ValueError(f"{path} holds a net of another shape")
-    laid = laid_out(df, columns, key, batch_size, tasks).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = laid.count()
+    held = None  # steps of a partition, where some steps are a job
+    if sync_every > 1 and 24 * sum(a.size for a in state.model.params.values()) <= ROUND_BYTES:
+        held = sync_every * max(1, ROUND_ROWS * tasks // (sync_every * batch_size))
+    if held is None:
+        laid = laid_out(df, columns, key, batch_size, tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = laid.count()
+    else:
+        rows = df.count()
+        ranges = max(1, -(-rows // (batch_size * held)))
+        laid = _stored_cuts(laid_out(df, columns, key, batch_size, tasks, held, ranges), spec.inputs).persist(StorageLevel.MEMORY_AND_DISK)
+        laid.count()  # on all cores: a job of some steps would lay out its own rows only
     if not rows:
         laid.unpersist()
         raise ValueError("no rows to train on")
@@ -340,10 +433,13 @@ def fit_sync(df: DataFrame, spec: DenseSpec, key: str, batch_size: int = 32, epo
     try:
         for epoch in range(state.epoch, epochs):
             params = state.model.params
-            shared = spark.sparkContext.broadcast((params, state.m, state.v))
-            task = _epoch(spec, shared, tasks, rows, batch_size, epoch * steps, at, seed, sync_every, log_every or steps)
-            found = _added(laid.mapInArrow(task, PART_SCHEMA, barrier=True))
-            shared.unpersist()
+            if held is not None:
+                found = _epoch_of_rounds(laid, state, tasks, rows, batch_size, epoch * steps, at, seed, sync_every, log_every or steps, held)
+            else:
+                shared = spark.sparkContext.broadcast((params, state.m, state.v))
+                task = _epoch(spec, shared, tasks, rows, batch_size, epoch * steps, at, seed, sync_every, log_every or steps)
+                found = _added(laid.mapInArrow(task, PART_SCHEMA, barrier=True))
+                shared.unpersist()
             p, m, v = ({n: found[f"{k}:{n}"].reshape(a.shape) for n, a in params.items()} for k in "pmv")
             state = TrainState(DenseModel(spec, p), m, v, epoch + 1, (epoch + 1) * steps)
             total: dict[str, np.ndarray] = {}

@@ -1,5 +1,7 @@
 """Synchronous training: the layout does not matter, metrics count every row, stopped fits go on."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +189,34 @@ def test_odd_tables(spark, table):
         sync.fit_sync(table.withColumn("y", F.when(F.col("id") != 5, F.col("y"))), net.regressor_spec("x", 4, "y", [3]), "id", 800, tasks=2)
     few, log = sync.fit_sync(table.where("id < 3"), spec, "id", 100, 2, tasks=8)
     assert {r.value for r in log.where("metric = 'rows'").collect()} == {3.0}
+
+
+@pytest.mark.parametrize("size, tasks, every, log_every, held", [(128, 4, 5, None, 10 ** 5), (100, 3, 4, 7, 150)])
+def test_jobs_of_some_steps_give_what_gathers_give(spark, table, monkeypatch, size, tasks, every, log_every, held):
+    """To the last bit of the net, with one partition a task and with several."""
+    spec = every_kind("bce", "sigmoid")
+    monkeypatch.setattr(sync, "ROUND_ROWS", held)
+    found = []
+    for most in (sync.ROUND_BYTES, 0):
+        monkeypatch.setattr(sync, "ROUND_BYTES", most)
+        model, log = sync.fit_sync(table, spec, "id", size, 2, rate=1e-2, tasks=tasks, seed=3, sync_every=every, log_every=log_every)
+        found.append((model.params, {(r.step, r.metric): r.value for r in log.collect()}))
+    (a, la), (b, lb) = found
+    assert all((a[n] == b[n]).all() for n in b)
+    assert la.keys() == lb.keys() and all(la[k] == pytest.approx(lb[k], rel=1e-9, abs=1e-12) for k in la)
+
+
+def test_averages_do_not_wait_a_second_each(spark, table):
+    spec = net.classifier_spec("x", 4, "y", [5])
+    start = time.monotonic()
+    sync.fit_sync(table, spec, "id", 30, 2, rate=1e-2, tasks=2, sync_every=2)  # 52 averages
+    assert time.monotonic() - start < 40
+
+
+def test_partitions_of_jobs_do_not_grow_with_the_table(spark, table):
+    sizes = []
+    for rows in (400, 1530):
+        laid = sync.laid_out(table.where(F.col("id") < rows), ["x", "y"], "id", 40, 2, 5, -(-rows // 200))
+        cuts = sync._stored_cuts(laid, {"x": 4})
+        sizes.append(cuts.glom().map(lambda part: sum(len(c["_row"]) for _, c in part)).collect())
+    assert max(sizes[0]) == max(sizes[1]) == 100 and [sum(s) for s in sizes] == [400, 1530]
