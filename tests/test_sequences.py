@@ -66,3 +66,35 @@ def test_step_embedding_and_pool(spark, df):
         m = [[c * 2.0, -c, v] for c, v in zip(r.c, r.value)]
         want = [max(x) for x in zip(*m)] + [sum(x) / LENGTH for x in zip(*m)]
         assert pooled[r.user] == pytest.approx(want)
+
+
+def test_packed_steps_pool_to_the_same(spark, df):
+    """Wide vectors go as bytes; batches cut users, two users' rows lie apart, a null key is a key."""
+    pad = sequences.sequence_pad(df.withColumn("c", F.col("value") % 5).withColumn("user", F.nullif("user", F.lit(3))), "user", ["ts", "event_id"],
+                                 ["value", "c"], LENGTH)
+    table = spark.range(5).select("id", F.array(*[F.sin(F.col("id") * (i + 1)) for i in range(40)]).alias("vector"))
+    plain, packed = (sequences.sequence_embed(pad, "user", {"c": table}, ["value"], packed=p).repartition(3, "step") for p in (False, True))
+    want = {r.user: r.s for r in plain.groupBy("user").agg(F.collect_list("step_vector").alias("s")).collect()}
+    for steps in (plain, packed):
+        found = {r.user: r.pooled for r in sequences.pool_steps(steps, "user").collect()}
+        assert found.keys() == want.keys() and None in want
+        for user, rows in want.items():
+            assert found[user] == pytest.approx([max(x) for x in zip(*rows)] + [sum(x) / LENGTH for x in zip(*rows)], abs=1e-12)
+
+
+def test_pooled_steps_are_few_where_they_are_aggregated(spark, df):
+    """The aggregate gets what runs of steps give, not every step."""
+    pad = sequences.sequence_pad(df, "user", ["ts", "event_id"], ["value"], 50).withColumn("c", F.col("value"))
+    table = spark.range(100).select("id", F.array(F.col("id") * 1.0).alias("vector"))
+    steps = sequences.sequence_embed(pad, "user", {"c": table}, ["value"], packed=True)
+    runs = steps.select(F.col("user").alias("_key"), "step_vector").mapInArrow(
+        sequences._pooled_runs, "_key int, most array<double>, mean array<double>, n long").collect()
+    assert sum(r.n for r in runs) == pad.count() * 50 and len(runs) < 3 * pad.count()
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_an_id_without_a_vector_is_an_error(spark, packed):
+    rows = spark.createDataFrame([(1, [0.0, 9.0], [1.0, 2.0])], "user int, c array<double>, v array<double>")
+    table = spark.range(5).select("id", F.array(F.col("id") * 1.0).alias("vector"))
+    with pytest.raises(Exception, match="step vector"):
+        sequences.pool_steps(sequences.sequence_embed(rows, "user", {"c": table}, ["v"], packed=packed), "user").collect()
