@@ -125,6 +125,13 @@ def _step_lengths(vectors: pa.Array) -> np.ndarray:
     return lengths + pa.compute.binary_length(parts[0]).to_numpy() // 8 if len(parts) == 2 else lengths
 
 
+def _reduced(pool: np.ufunc, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``pool`` over each run of rows. Runs of many numbers one by one: several numbers are pooled at once then."""
+    if x.size < 4096 * len(starts):
+        return pool.reduceat(x, starts)
+    return np.stack([pool.reduce(x[a:b], axis=0) for a, b in zip(starts, [*starts[1:], len(x)])])
+
+
 def _pooled_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, most, mean, n) of every run of rows of one key in a batch; arrays of another length are another run."""
     for batch in batches:
@@ -140,7 +147,7 @@ def _pooled_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = _step_matrices(vectors.filter(pa.array(lengths == width)) if len(runs) < len(first) else vectors, int(width))
             starts = np.concatenate([[0], np.cumsum(counts[runs])[:-1]])
             offsets = pa.array(np.arange(len(runs) + 1, dtype=np.int32) * int(width))
-            most, total = (np.concatenate([pool.reduceat(x, starts) for x in parts], axis=1) for pool in (np.fmax, np.add))
+            most, total = (np.concatenate([_reduced(pool, x, starts) for x in parts], axis=1) for pool in (np.fmax, np.add))
             yield pa.RecordBatch.from_arrays(
                 [keys.take(pa.array(first[runs])), *(pa.ListArray.from_arrays(offsets, pa.array(v.ravel())) for v in (most, total / counts[runs, None])),
                  pa.array(counts[runs].astype(np.int64))], names=["_key", "most", "mean", "n"])

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +99,12 @@ def test_an_id_without_a_vector_is_an_error(spark, packed):
     table = spark.range(5).select("id", F.array(F.col("id") * 1.0).alias("vector"))
     with pytest.raises(Exception, match="step vector"):
         sequences.pool_steps(sequences.sequence_embed(rows, "user", {"c": table}, ["v"], packed=packed), "user").collect()
+
+
+def test_long_runs_are_pooled_like_short_ones():
+    x = np.random.default_rng(0).normal(size=(300, 70))
+    x[5, 3], x[:100, 4] = np.nan, np.nan
+    starts = np.array([0, 100, 101])
+    for pool in (np.fmax, np.add):
+        assert np.allclose(sequences._reduced(pool, x, starts), pool.reduceat(x, starts), equal_nan=True)
+        assert np.allclose(sequences._reduced(pool, x[:, :2], starts), pool.reduceat(x[:, :2], starts), equal_nan=True)
