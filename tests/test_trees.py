@@ -29,3 +29,9 @@ def test_gbt_classify_fits_every_round(spark, folder, fitted):
     rows = QUERIES["gbt_classify"](spark, folder).collect()
     assert [(m.getNumTrees, m.getMaxDepth(), m.getStepSize()) for m in fitted] == [(200, 6, 0.1)]
     assert rows and all(r.label == r.prediction for r in rows)
+
+
+def test_gbt_importance_fits_every_round(spark, folder, fitted):
+    rows = QUERIES["gbt_importance"](spark, folder).collect()
+    assert [(m.getNumTrees, m.getMaxDepth(), m.getStepSize()) for m in fitted] == [(200, 6, 0.1)]
+    assert sorted(tuple(r) for r in rows) == [(0, 1.0), (1, 0.0), (2, 0.0), (3, 0.0)]
