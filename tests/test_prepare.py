@@ -251,3 +251,19 @@ def test_cells_are_made_in_batches_and_follow_the_formula(spark, monkeypatch):
         for i, c in enumerate(generate.SEQUENCE_COLUMNS):
             cells = [((mix_int(r.id, 3) + j * CELL_STEP) % PRIME) ** 2 % PRIME for j in range(i * 4, i * 4 + 4)]
             assert r[c] == [v % 1000000 / 1e6 for v in cells]
+
+
+def test_sequence_query_sums_all_two_hundred_steps(spark, tmp_path):
+    from broadloom.functions.mixing import CELL_STEP, PRIME, mix_int
+    from broadloom.plans.queries import QUERIES
+
+    spark.range(0, 40, 1, 2).select((F.col("id") * 7 - 50).alias("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = QUERIES["gen_sequence_vectors"](spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in rows) == [i * 7 - 50 for i in range(40)]
+    for r in rows:
+        base = mix_int(r.id, 13)
+        cells = [((base + j * CELL_STEP) % PRIME) ** 2 % PRIME for j in range(200 * len(generate.SEQUENCE_COLUMNS) + 1)]
+        for i, c in enumerate(generate.SEQUENCE_COLUMNS):
+            own = [v % 1000000 / 1e6 for v in cells[200 * i:200 * i + 200]]
+            assert (r[f"{c}_sum"], r[f"{c}_first"], r[f"{c}_last"]) == (round(sum(own), 6), own[0], own[-1])
+        assert r.label_per_client == cells[-1] % 2
